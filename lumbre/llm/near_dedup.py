@@ -35,8 +35,8 @@ SLOTS = BANDS * ROWS
 #: Links have 100 * intersection >= PERCENT * union.
 PERCENT = 75
 ESTIMATE = 0.58
-#: Representatives of a bucket that are compared in one task at once.
-TILE = 1024
+#: Representatives, and shingles of theirs, that a tile of a bucket has about; a task holds two tiles at once.
+TILE, TILE_SHINGLES = 400, 1_000_000
 #: Shingles that permutations are drawn for at once: SLOTS bytes each.
 BLOCK = 1 << 17
 
@@ -133,12 +133,7 @@ def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 continue
             if a.as_py() != name:
                 raise ValueError(f"no set of {a}")
-            small, large = (s, own) if len(s) < len(own) else (own, s)
-            if 100 * len(small) < PERCENT * len(large):
-                continue
-            at = np.searchsorted(large, small)
-            both = int((large[np.minimum(at, len(large) - 1)] == small).sum())
-            if 100 * both >= PERCENT * (len(s) + len(own) - both):
+            if linked(s, own):
                 a_out.append(name)
                 b_out.append(other.as_py())
         if a_out:
@@ -159,67 +154,115 @@ def confirm(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 def unresolved(members: DataFrame, labels: DataFrame, reps: DataFrame) -> DataFrame:
     """Rows of the buckets that are in several components, dealt out in tiles: key, lo, hi, tile, pivot, rep, comp, n, bands, sig."""
-    rows = members.join(labels, members["rep"] == labels["node"], "left").select("key", "pivot", "rep", F.coalesce("component", "rep").alias("comp"))
+    rows = members.join(labels, members["rep"] == labels["node"], "left").select("key", "pivot", "rep", "n", F.coalesce("component", "rep").alias("comp"))
     rows = stage(rows, "near-members")
-    keys = rows.groupBy("key").agg(F.min("comp").alias("least"), F.max("comp").alias("most"), F.count("*").alias("size")).where("least <> most").select("key", "size")
+    keys = rows.groupBy("key").agg(F.min("comp").alias("least"), F.max("comp").alias("most"), F.count("*").alias("size"), F.sum("n").alias("shingles")).where("least <> most").select("key", "size", "shingles")
     keys = stage(keys, "near-open")
     open_rows = skew_join(rows, keys, ["key"], "size", F.xxhash64("rep"), "inner")
-    tiles = F.ceil(F.col("size") / TILE).cast("int")
+    tiles = F.greatest(F.ceil(F.col("size") / TILE), F.ceil(F.col("shingles") / TILE_SHINGLES)).cast("int")
     open_rows = open_rows.withColumn("tile", F.pmod(F.xxhash64("rep", F.lit(1)), tiles).cast("int")).withColumn("with", F.explode(F.sequence(F.lit(0), tiles - 1)))
     open_rows = open_rows.select("key", F.least("tile", "with").alias("lo"), F.greatest("tile", "with").alias("hi"), "tile", "pivot", "rep", "comp")
-    return open_rows.join(reps.select("rep", "n", "bands", "sig"), "rep")
-
-
-def tile_pairs(best: int):
-    """Candidate pairs of a tile pair: different components, this band the first that both share, estimate reached; the best few of each text, or (0) all."""
-
-    def of(rows: list[tuple]) -> Iterator[tuple[int, int]]:
-        key, lo, hi = rows[0][:3]
-        tile = np.array([r[3] for r in rows])
-        pivot, rep, comp, n = (np.array([r[k] for r in rows], np.int64) for k in (4, 5, 6, 7))
-        bands = np.array([r[8] for r in rows], np.int64)
-        sig = np.stack([np.frombuffer(r[9], np.uint16) for r in rows])
-        here = (bands == key).argmax(1)
-        names, sizes = np.unique(comp, return_counts=True)
-        # Every pair has an end outside the largest component: only those are gone through.
-        outside = np.flatnonzero(comp != names[sizes.argmax()])
-        large = comp == names[sizes.argmax()]
-        for u in outside:
-            v = np.flatnonzero((comp != comp[u]) & (large | (rep > rep[u])) & (100 * np.minimum(n, n[u]) >= PERCENT * np.maximum(n, n[u])))
-            if lo != hi:
-                v = v[tile[v] != tile[u]]
-            v = v[(rep[v] != pivot[u]) & (rep[u] != pivot[v])]
-            v = v[(bands[v] == bands[u]).argmax(1) == here[u]] if len(v) else v
-            if not len(v):
-                continue
-            same = (sig[v] == sig[u]).sum(1)
-            v, same = v[same >= ESTIMATE * SLOTS], same[same >= ESTIMATE * SLOTS]
-            if best:
-                v = v[np.argsort(-same, kind="stable")[:best]]
-            for w in v:
-                yield min(int(rep[u]), int(rep[w])), max(int(rep[u]), int(rep[w]))
+    return open_rows.join(reps, "rep").select(*TILE_COLUMNS)
+
+
+def candidates(rows: list[tuple], best: int) -> Iterator[tuple[int, int]]:
+    """Places of candidate pairs of a tile pair: different components, this band the first that both share, estimate reached; the best few of each text, or (0) all."""
+    key, lo, hi = rows[0][:3]
+    tile = np.array([r[3] for r in rows])
+    pivot, rep, comp, n = (np.array([r[k] for r in rows], np.int64) for k in (4, 5, 6, 7))
+    bands = np.array([r[8] for r in rows], np.int64)
+    sig = np.stack([np.frombuffer(r[9], np.uint16) for r in rows])
+    here = (bands == key).argmax(1)
+    names, sizes = np.unique(comp, return_counts=True)
+    # Every pair has an end outside the largest component: only those are gone through.
+    large = comp == names[sizes.argmax()]
+    for u in np.flatnonzero(~large):
+        v = np.flatnonzero((comp != comp[u]) & (large | (rep > rep[u])) & (100 * np.minimum(n, n[u]) >= PERCENT * np.maximum(n, n[u])))
+        if lo != hi:
+            v = v[tile[v] != tile[u]]
+        v = v[(rep[v] != pivot[u]) & (rep[u] != pivot[v])]
+        v = v[(bands[v] == bands[u]).argmax(1) == here[u]] if len(v) else v
+        if not len(v):
+            continue
+        same = (sig[v] == sig[u]).sum(1)
+        v, same = v[same >= ESTIMATE * SLOTS], same[same >= ESTIMATE * SLOTS]
+        if best:
+            v = v[np.argsort(-same, kind="stable")[:best]]
+        for w in v:
+            yield int(u), int(w)
+
+
+def linked(s: np.ndarray, t: np.ndarray) -> bool:
+    small, large = (s, t) if len(s) < len(t) else (t, s)
+    if 100 * len(small) < PERCENT * len(large):
+        return False
+    at = np.searchsorted(large, small)
+    both = int((large[np.minimum(at, len(large) - 1)] == small).sum())
+    return 100 * both >= PERCENT * (len(s) + len(t) - both)
+
+
+TILE_COLUMNS = ("key", "lo", "hi", "tile", "pivot", "rep", "comp", "n", "bands", "sig")
+
+
+def per_tile(found, columns: tuple[str, ...], names: tuple[str, ...]):
+    """A mapInArrow function over rows sorted by (key, lo, hi): calls found on the rows of each tile pair, which gives tuples of whole numbers."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
+        done: list[tuple] = []
 
         def out() -> Iterator[pa.RecordBatch]:
-            found = list(of(held)) if len(held) > 1 else []
-            for i in range(0, len(found), 50_000):
-                part = found[i : i + 50_000]
-                yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in part], pa.int64()), pa.array([b for _, b in part], pa.int64())], ["a", "b"])
+            for i in range(0, len(done), 50_000):
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*done[i : i + 50_000], strict=True)], names)
+            done.clear()
+
+        def close() -> None:
+            if len(held) > 1:
+                done.extend(found(held))
+            held.clear()
 
         for batch in batches:
-            cols = [column(batch, c).to_pylist() for c in ("key", "lo", "hi", "tile", "pivot", "rep", "comp", "n", "bands", "sig")]
-            for row in zip(*cols, strict=True):
+            for row in zip(*[column(batch, c).to_pylist() for c in columns], strict=True):
                 if held and held[0][:3] != row[:3]:
-                    yield from out()
-                    held.clear()
+                    close()
                 held.append(row)
+            if len(done) > 50_000:
+                yield from out()
+        close()
         yield from out()
 
     return run
 
 
+def best_pairs(rows: list[tuple]) -> Iterator[tuple[int, int]]:
+    for u, w in candidates(rows, best=2):
+        yield min(rows[u][5], rows[w][5]), max(rows[u][5], rows[w][5])
+
+
+def in_question(rows: list[tuple]) -> Iterator[tuple]:
+    """The rows of a tile pair that any candidate pair needs."""
+    for k in sorted({k for pair in candidates(rows, best=0) for k in pair}):
+        yield (*rows[k][:3], rows[k][5])
+
+
+def tile_links(rows: list[tuple]) -> Iterator[tuple[int, int]]:
+    """Links between the components of a tile pair, found on the full sets (the last column); what is united already isn't compared again."""
+    parent = {r[6]: r[6] for r in rows}
+
+    def find(x: int) -> int:
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    sets = [np.frombuffer(r[10], np.uint64) for r in rows]
+    for u, w in candidates(rows, best=0):
+        x, y = find(rows[u][6]), find(rows[w][6])
+        if x != y and linked(sets[u], sets[w]):
+            parent[x] = y
+            yield min(rows[u][5], rows[w][5]), max(rows[u][5], rows[w][5])
+
+
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row a document: doc_id, n_shingles, component_id, kept."""
     rows = as_rows(docs, id_col, text_col)
@@ -229,18 +272,22 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     sets_of = stage(known.groupBy("f1", "f2").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies")), "near-sets")
     chosen = known.join(sets_of, (known["doc_id"] == sets_of["rep"]) & (known["f1"] == sets_of["f1"]) & (known["f2"] == sets_of["f2"])).select("rep", "n", "bands", "sig")
     reps = stage(chosen.dropDuplicates(["rep"]), "near-reps")
-    keyed = reps.select("rep", F.explode("bands").alias("key"))
+    keyed = reps.select("rep", "n", F.explode("bands").alias("key"))
     keys = stage(keyed.groupBy("key").agg(F.min("rep").alias("pivot"), F.count("*").alias("size")).where("size > 1"), "near-keys")
-    members = stage(skew_join(keyed, keys, ["key"], "size", F.xxhash64("rep"), "inner").select("key", "pivot", "rep"), "near-buckets")
+    members = stage(skew_join(keyed, keys, ["key"], "size", F.xxhash64("rep"), "inner").select("key", "pivot", "rep", "n"), "near-buckets")
     needed = members.select(F.col("rep").alias("doc_id")).distinct()
     sets = stage(rows.join(needed, "doc_id", "left_semi").mapInArrow(shingle_sets, "rep long, shingles binary"), "near-shingles")
     links = stage(confirm(members.where("rep <> pivot").select(F.col("pivot").alias("a"), F.col("rep").alias("b")).distinct(), sets), "near-links")
-    for best in (2, 0):
-        labels = components(links, "near-components")
-        tiles = unresolved(members, labels, reps).repartition(n_tasks, "key", "lo", "hi").sortWithinPartitions("key", "lo", "hi")
-        pairs = stage(tiles.mapInArrow(tile_pairs(best), "a long, b long").distinct(), "near-more")
-        more = confirm(pairs, sets)
-        links = stage(links.unionByName(more), "near-links")
+    dealt = lambda rows: rows.repartition(n_tasks, "key", "lo", "hi").sortWithinPartitions("key", "lo", "hi", "rep")
+    tiles = dealt(unresolved(members, components(links, "near-components"), reps))
+    pairs = stage(tiles.mapInArrow(per_tile(best_pairs, TILE_COLUMNS, ("a", "b")), "a long, b long").distinct(), "near-more")
+    links = stage(links.unionByName(confirm(pairs, sets)), "near-links")
+    # What is still open is settled inside the tiles: pairs are never written out, only the texts that some pair needs, and links.
+    tiles = stage(unresolved(members, components(links, "near-components"), reps), "near-tiles")
+    asked = stage(dealt(tiles).mapInArrow(per_tile(in_question, TILE_COLUMNS, ("key", "lo", "hi", "rep")), "key long, lo long, hi long, rep long"), "near-asked")
+    full = tiles.join(asked, ["key", "lo", "hi", "rep"], "left_semi").join(sets, "rep").select(*TILE_COLUMNS, "shingles")
+    last = dealt(full).mapInArrow(per_tile(tile_links, (*TILE_COLUMNS, "shingles"), ("a", "b")), "a long, b long")
+    links = stage(links.unionByName(last), "near-links")
     labels = components(links, "near-components")
     by_set = sets_of.join(labels, sets_of["rep"] == labels["node"], "left").select("f1", "f2", "copies", F.coalesce("component", "rep").alias("component_id"))
     by_set = stage(by_set, "near-by-set")
