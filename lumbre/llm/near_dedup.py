@@ -36,7 +36,7 @@ SLOTS = BANDS * ROWS
 PERCENT = 75
 ESTIMATE = 0.58
 #: Representatives, and shingles of theirs, that a tile of a bucket has about; a task holds two tiles at once.
-TILE, TILE_SHINGLES = 400, 1_000_000
+TILE, TILE_SHINGLES = 1024, 1_000_000
 #: Shingles that permutations are drawn for at once: SLOTS bytes each.
 BLOCK = 1 << 17
 
