@@ -85,6 +85,8 @@ class ItemIndex:
         at = np.repeat(maybe, n)
         item = self.owners[np.repeat(lo - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())] if len(maybe) else np.zeros(0, np.int64)
         text = np.searchsorted(bounds, at, "right") - 1
+        if not len(at):
+            return
         order = np.lexsort((at, item, text))
         at, item, text = at[order], item[order], text[order]
         cuts = np.flatnonzero(np.diff(text, prepend=-1) | np.diff(item, prepend=-1))
