@@ -79,31 +79,34 @@ class Model:
     """toxic: log-odds a bucket adds where it is present; weights: of shape(); both with their priors."""
 
     def __init__(self, texts: list[str], quality: np.ndarray, toxic: np.ndarray):
-        data, offsets = text_bytes(pa.array(texts, pa.large_string()))
-        self.toxic_weights, self.toxic_bias = self.fit_toxic(data, offsets, toxic)
-        self.mean = self.scale = None
-        x = shape(data, offsets)
-        self.mean, self.scale = x.mean(0), x.std(0) + 1e-6
+        # In parts, so that only the texts themselves are held whole.
+        parts = [text_bytes(pa.array(texts[i : i + 250], pa.string())) for i in range(0, len(texts), 250)]
+        self.toxic_weights = self.fit_toxic(parts, toxic)
+        x = np.concatenate([shape(*p) for p in parts]) if parts else np.zeros((0, 14))
+        self.mean, self.scale = (x.mean(0), x.std(0) + 1e-6) if len(x) else (np.zeros(x.shape[1]), np.ones(x.shape[1]))
         self.mean[0], self.scale[0] = 0, 1
         known = ~np.isnan(quality)
         self.weights = logistic((x[known] - self.mean) / self.scale, quality[known])
-        t = self.toxic_evidence(data, offsets)
+        t = np.concatenate([self.toxic_evidence(*p) for p in parts]) if parts else np.zeros(0)
         seen = ~np.isnan(toxic)
         self.toxic_line = logistic(np.stack([np.ones(seen.sum()), t[seen]], 1), toxic[seen], ridge=0.01) if seen.any() else np.array([-5.0, 0.0])
 
-    def fit_toxic(self, data: np.ndarray, offsets: np.ndarray, toxic: np.ndarray) -> tuple[np.ndarray, float]:
-        buckets, first = marks(data, offsets)
-        text = np.repeat(np.arange(len(offsets) - 1), np.diff(first))
-        pairs = np.unique(text.astype(np.int64) * BUCKETS + buckets)
-        text, bucket = pairs // BUCKETS, pairs % BUCKETS
+    def fit_toxic(self, parts: list[tuple[np.ndarray, np.ndarray]], toxic: np.ndarray) -> np.ndarray:
         bad, good = toxic == 1, toxic == 0
-        a = np.bincount(bucket[bad[text]], minlength=BUCKETS)
-        b = np.bincount(bucket[good[text]], minlength=BUCKETS)
+        a, b, at = np.zeros(BUCKETS), np.zeros(BUCKETS), 0
+        for data, offsets in parts:
+            buckets, first = marks(data, offsets)
+            text = np.repeat(np.arange(len(offsets) - 1), np.diff(first))
+            pairs = np.unique(text.astype(np.int64) * BUCKETS + buckets)
+            text, bucket = pairs // BUCKETS + at, pairs % BUCKETS
+            a += np.bincount(bucket[bad[text]], minlength=BUCKETS)
+            b += np.bincount(bucket[good[text]], minlength=BUCKETS)
+            at += len(offsets) - 1
         na, nb = max(1, bad.sum()), max(1, good.sum())
         w = np.log((a + 0.5) / (na + 1)) - np.log((b + 0.5) / (nb + 1))
         # Only what is nearly never in clean documents speaks: seen in several toxic ones, and far above chance.
         sure = (a >= np.maximum(3, 0.01 * na)) & (a / na > 100 * (b + 0.02) / nb)
-        return np.where(sure, w, 0).astype(np.float32), math.log(na / nb)
+        return np.where(sure, w, 0).astype(np.float32)
 
     def toxic_evidence(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """The three strongest marks together: long texts don't gather weak ones."""
