@@ -82,7 +82,7 @@ class Model:
         # In parts, so that only the texts themselves are held whole.
         parts = [text_bytes(pa.array(texts[i : i + 250], pa.string())) for i in range(0, len(texts), 250)]
         self.toxic_weights = self.fit_toxic(parts, toxic)
-        x = np.concatenate([shape(*p) for p in parts]) if parts else np.zeros((0, 14))
+        x = np.concatenate([shape(*p) for p in parts]) if parts else shape(np.zeros(0, np.uint8), np.zeros(1, np.int64))
         self.mean, self.scale = (x.mean(0), x.std(0) + 1e-6) if len(x) else (np.zeros(x.shape[1]), np.ones(x.shape[1]))
         self.mean[0], self.scale[0] = 0, 1
         known = ~np.isnan(quality)
