@@ -13,12 +13,12 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
 import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
 
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,7 +27,7 @@ from .shared import as_rows, column
 #: Words that a worker remembers; then it forgets all and starts anew.
 REMEMBER = 450_000
 #: Beyond these letters, the library's own normalizer and splitter are used: its Unicode tables are of another version.
-RARE = regex.compile(r"[\u0530-\U0010ffff\x00]")
+RARE = re.compile("[\u0530-\U0010ffff\x00]")
 
 
 def byte_letters() -> list[str]:
@@ -40,6 +40,25 @@ def byte_letters() -> list[str]:
     return out
 
 
+def simple_pattern(pattern: str) -> re.Pattern:
+    """A splitter's pattern for the standard engine, which is faster, with letters, numbers and white space below U+0530 spelled out. \\p{L}, \\p{N} and \\s must stand in brackets."""
+    kinds = {c: unicodedata.category(chr(c))[0] for c in range(0x530)}
+
+    def spelled(kind: str) -> str:
+        parts, at = [], 0
+        while at < 0x530:
+            to = at
+            while to < 0x530 and kinds[to] == kind:
+                to += 1
+            if to > at:
+                parts.append(re.escape(chr(at)) + "-" + re.escape(chr(to - 1)))
+            at = max(to, at + 1)
+        return "".join(parts)
+
+    white = "\\t\\n\\x0b\\x0c\\r \\x85\\xa0"  # without 1C to 1F, as in the library's engine
+    return re.compile(pattern.replace(r"\p{L}", spelled("L")).replace(r"\p{N}", spelled("N")).replace(r"\s", white))
+
+
 class TrieBpe:
     """A BPE vocabulary with one merge for each token that isn't a single letter."""
 
@@ -56,9 +75,11 @@ class TrieBpe:
             self.merge[left, right] = rank
             self.parts[joined] = (left, right)
         self.rank = {t: self.merge[p] for t, p in self.parts.items()}
-        size = lambda s: len(s[: -len(self.end)] if self.end and s.endswith(self.end) and len(s) > len(self.end) else s)
-        self.letters = {t: size(s) for s, t in self.vocab.items()}
-        self.longest = max(self.letters.values(), default=1)
+        bare = lambda s: s[: -len(self.end)] if self.end and s.endswith(self.end) and len(s) > len(self.end) else s
+        self.letters = {t: len(bare(s)) for s, t in self.vocab.items()}
+        #: What tokens begin with; the letters read so far are remembered as the longest end that is one of these.
+        self.beginnings = {bare(s)[:k] for s in self.vocab for k in range(len(bare(s)) + 1)}
+        self.steps: dict[tuple[str, str, bool], tuple[str, list[tuple[int, int]]]] = {}
         self.strings = {t: s for s, t in self.vocab.items()}
         self.known: dict[tuple[int, int], bool] = {}
         #: Tokens whose own letters are encoded as this token.
@@ -98,15 +119,25 @@ class TrieBpe:
             known = self.known[left, right] = self.fits(left, right)
         return known
 
-    def last(self, letters: str, last_of: list[int], depth: int) -> int:
-        """The last token of the first depth letters (the string ends with the end-of-word mark if it is a whole word)."""
-        extra = len(letters) - depth
-        for size in range(min(depth, self.longest), 0, -1):
-            token = self.vocab.get(letters[depth - size :] if size < depth else letters)
-            if token is not None and self.letters[token] == size and token in self.alone and bool(extra) == (bool(self.end) and self.strings[token].endswith(self.end) and len(self.strings[token]) > size):
-                if size == depth or self.beside(last_of[depth - size], token):
-                    return token
-        raise ValueError(f"no token ends {letters!r}")
+    def step(self, state: str, letter: str, end: bool) -> tuple[str, list[tuple[int, int]]]:
+        """After one more letter: the longest end of the letters so far that begins a token, and the tokens (with their lengths) that end here, longest first."""
+        state += letter
+        while state not in self.beginnings:
+            state = state[1:]
+        mark = self.end if end else ""
+        tokens = [(self.vocab.get(state[i:] + mark), len(state) - i) for i in range(len(state))]
+        return state, [(t, n) for t, n in tokens if t in self.alone]
+
+    def last(self, fitting: list[tuple[int, int]], last_of: list[int], depth: int) -> int:
+        """The one of the tokens that end at this depth that fits behind the encoding of what is before it."""
+        known = self.known
+        for token, size in fitting:
+            if size == depth:
+                return token
+            before = last_of[depth - size]
+            if known.get((before, token)) or (before, token) not in known and self.beside(before, token):
+                return token
+        raise ValueError("no token ends here")
 
     def encode_words(self, words: Iterator[str]) -> dict[str, list[int]]:
         """The tokens of every word. words: different, none empty, in byte letters."""
@@ -114,29 +145,39 @@ class TrieBpe:
         for word in words:
             node = root
             for letter in word[:-1]:
-                node = node.setdefault(letter, {})
-            node.setdefault("", []).append(word[-1])
+                if (below := node.get(letter)) is None:
+                    below = node[letter] = {}
+                node = below
+            node.setdefault("", []).append(word)
         out: dict[str, list[int]] = {}
-        last_of: list[int] = [0]
-        stack = [(root, "")]
+        last_of: list[int] = [0] * 16
+        steps, letters, last = self.steps, self.letters, self.last
+        if len(steps) > 2_000_000:
+            steps.clear()
+        stack = [(root, 0, "", "")]
         while stack:
-            node, prefix = stack.pop()
-            depth = len(prefix)
+            node, depth, state, letter = stack.pop()
             if depth:
-                del last_of[depth:]
-                last_of.append(self.last(prefix, last_of, depth))
+                if (found := steps.get((state, letter, False))) is None:
+                    found = steps[state, letter, False] = self.step(state, letter, False)
+                state = found[0]
+                if depth >= len(last_of):
+                    last_of += [0] * depth
+                last_of[depth] = last(found[1], last_of, depth)
             for letter, below in node.items():
                 if letter:
-                    stack.append((below, prefix + letter))
+                    stack.append((below, depth + 1, state, letter))
                     continue
-                for end in below:
-                    word = prefix + end
-                    tokens = [self.last(word + self.end, last_of, depth + 1)]
-                    at = depth + 1 - self.letters[tokens[0]]
+                for word in below:
+                    if (found := steps.get((state, word[-1], True))) is None:
+                        found = steps[state, word[-1], True] = self.step(state, word[-1], True)
+                    tokens = [last(found[1], last_of, depth + 1)]
+                    at = depth + 1 - letters[tokens[0]]
                     while at:
                         tokens.append(last_of[at])
-                        at -= self.letters[tokens[-1]]
-                    out[word] = tokens[::-1]
+                        at -= letters[tokens[-1]]
+                    tokens.reverse()
+                    out[word] = tokens
         return out
 
 
@@ -159,28 +200,31 @@ class WordTokenizer:
         self.bpe = TrieBpe(spec)
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         split = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
-        # The library's engine has \s as the White_Space property, without 1C to 1F.
-        self.words = regex.compile(split.replace(r"[^\s\p{L}\p{N}]", r"[^\p{White_Space}\p{L}\p{N}]"), regex.V0)
-        self.specials = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
+        self.words = simple_pattern(split)
+        self.specials = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
         self.byte_letter = {bytes([b]): c for b, c in enumerate(byte_letters())}
         self.table = str.maketrans({b: c for b, c in enumerate(byte_letters())})
+        self.numbers = {t: str(t) for t in self.bpe.strings}
         self.ids: dict[str, str] = {}
         self.tokens: dict[str, str] = {}
 
     def plain(self, text: str) -> list[str]:
         """The words of a text without special tokens. A word in byte letters is marked by a leading NUL."""
-        if text.isascii() and "\0" not in text or not RARE.search(text):
-            return self.words.findall(fold_case(text))
+        if text.isascii() and "\0" not in text:
+            return self.words.findall(text.lower())
+        if not RARE.search(text) and not RARE.search(folded := fold_case(text)):
+            return self.words.findall(folded)
         normal = self.library.normalizer.normalize_str(text)
         return ["\0" + w for w, _ in self.library.pre_tokenizer.pre_tokenize_str(normal)]
 
     def learn(self, words: set[str]) -> None:
-        spell = lambda w: w[1:] if w[0] == "\0" else w.encode("utf-8", "surrogatepass").decode("latin-1").translate(self.table)
+        spell = lambda w: w if w.isascii() and w.isalnum() else w[1:] if w[0] == "\0" else w.encode("utf-8", "surrogatepass").decode("latin-1").translate(self.table)
+        numbers, letters = self.numbers, self.bpe.strings
         new: dict[str, list[str]] = {}
         for w in words:
             new.setdefault(spell(w), []).append(w)
         for spelled, tokens in self.bpe.encode_words(iter(new)).items():
-            ids, strings = " ".join(map(str, tokens)), " ".join(self.bpe.strings[t] for t in tokens)
+            ids, strings = " ".join([numbers[t] for t in tokens]), " ".join([letters[t] for t in tokens])
             for word in new[spelled]:
                 self.ids[word], self.tokens[word] = ids, strings
 
