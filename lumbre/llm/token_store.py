@@ -16,32 +16,34 @@ its own. Empty table: no blocks. A very long text is a block of its own.
 
 from __future__ import annotations
 
+import re
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .bpe_trie import text_slices
+from .bpe_trie import simple_pattern, text_slices
 from .shared import as_rows, column, partitions, stage
 
 MAGIC, VERSION = b"LMEF", 1
 HEADER = struct.Struct("<4sHHQQQq")
 PART = struct.Struct("<QBQQ")  # n, low bits, bytes of low bits, bytes of high bits
 SAMPLE = 64
-REMEMBER = 700_000
+#: Pieces in a generation of a worker's memory; two generations are kept.
+REMEMBER = 350_000
 #: Bytes of ids after which a block is closed.
 BLOCK = 4 << 20
 #: How the vocabulary's byte-level splitter cuts text.
-SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"""
-RARE = regex.compile(r"[԰-\U0010ffff\x1c-\x1f\x00]")
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?[\p{L}]+| ?[\p{N}]+| ?[^\s\p{L}\p{N}]+|[\s]+(?![^\s])|[\s]+"
+RARE = re.compile("[\u0530-\U0010ffff\x00\x1c-\x1f]")
 
 
 class EliasFano:
@@ -131,6 +133,26 @@ class Block:
         return self.ids[self.start(i) : self.ends.select(i)]
 
 
+class Pieces(dict):
+    """The ids of pieces of text as bytes. A new piece is looked up in the generation before, or else encoded by the library."""
+
+    def __init__(self, encode, dtype: np.dtype):
+        super().__init__()
+        self.encode, self.dtype = encode, dtype
+        self.before: dict[str, bytes] = {}
+
+    def __missing__(self, piece: str) -> bytes:
+        if (ids := self.before.get(piece)) is None:
+            ids = array(self.dtype.char, self.encode(piece, add_special_tokens=False).ids).tobytes()
+        self[piece] = ids
+        return ids
+
+    def age(self) -> None:
+        if len(self) > REMEMBER:
+            self.before = dict(self)
+            self.clear()
+
+
 class ByteTokenizer:
     """The library's byte-level BPE; it encodes each distinct piece of text once and the pieces' ids are joined."""
 
@@ -139,30 +161,21 @@ class ByteTokenizer:
 
         self.library = Tokenizer.from_file(path)
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
-        self.split = regex.compile(SPLIT, regex.V0)
-        self.known: dict[str, bytes] = {}
+        self.odd = re.compile("|".join([RARE.pattern, *map(re.escape, self.special)]))
+        self.split = simple_pattern(SPLIT)
         self.width = 2 if self.library.get_vocab_size(with_added_tokens=True) <= 1 << 16 else 4
         self.dtype = np.dtype(f"<u{self.width}")
-
-    def whole(self, text: str) -> bytes:
-        return np.array(self.library.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
+        self.known = Pieces(self.library.encode, self.dtype)
 
     def batch(self, texts: list[str], end: int) -> Iterator[np.ndarray]:
-        if len(self.known) > REMEMBER:
-            self.known.clear()
-        odd = [not t.isascii() and bool(RARE.search(t)) or any(s in t for s in self.special) or any(c in t for c in "\x00\x1c\x1d\x1e\x1f") for t in texts]
-        pieces = [[] if o else self.split.findall(t) for t, o in zip(texts, odd, strict=True)]
-        new: set[str] = set()
-        for p in pieces:
-            new.update(p)
-        new = [p for p in new if p not in self.known]
-        for i in range(0, len(new), 10_000):
-            part = new[i : i + 10_000]
-            for p, e in zip(part, self.library.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                self.known[p] = np.array(e.ids, self.dtype).tobytes()
+        self.known.age()
         last = np.array([end], self.dtype).tobytes()
-        for t, o, p in zip(texts, odd, pieces, strict=True):
-            yield np.frombuffer((self.whole(t) if o else b"".join(map(self.known.__getitem__, p))) + last, self.dtype)
+        for t in texts:
+            if self.odd.search(t):
+                ids = np.array(self.library.encode(t, add_special_tokens=False).ids, self.dtype).tobytes()
+            else:
+                ids = b"".join(map(self.known.__getitem__, self.split.findall(t)))
+            yield np.frombuffer(ids + last, self.dtype)
 
 
 @lru_cache(maxsize=2)
