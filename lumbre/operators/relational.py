@@ -8,6 +8,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows over all cores before costly expressions, where a small file has come as fewer partitions; large tables pass unchanged."""
+    n = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= n else df.repartition(n)
+
+
 def left_chain(first: DataFrame, *others: tuple[DataFrame, str]) -> DataFrame:
     return reduce(lambda df, other: df.join(other[0], other[1], "left"), others, first)
 

@@ -238,7 +238,9 @@ WORDS = f"(SELECT doc_id, list_filter(string_split({FOLD}, ' '), lambda w: len(w
 
 
 def document_words(spark, d):
-    return table(spark, d, "documents").select("doc_id", text.tokens(text.fold_builtin(F.col("text"))).alias("w"))
+    rows = relational.spread(table(spark, d, "documents").select("doc_id", "text"))
+    # One-element explode: the words become a column of their own, and what is built on them doesn't cut the text again.
+    return rows.select("doc_id", F.explode(F.array(text.tokens(text.fold_builtin(F.col("text"))))).alias("w"))
 
 
 @query(f"SELECT doc_id, len(w) AS n_words, array_to_string(w[1:5], ' ') AS first_words FROM {WORDS}")
