@@ -38,7 +38,7 @@ HEADER = struct.Struct("<4sHHQQQq")
 PART = struct.Struct("<QBQQ")  # n, low bits, bytes of low bits, bytes of high bits
 SAMPLE = 64
 #: Pieces in a generation of a worker's memory; two generations are kept.
-REMEMBER = 350_000
+REMEMBER = 500_000
 #: Bytes of ids after which a block is closed.
 BLOCK = 4 << 20
 #: How the vocabulary's byte-level splitter cuts text.
