@@ -188,9 +188,11 @@ def test_lines(docs, empty, texts):
     first, gone = {}, collections.defaultdict(set)
     for i, t in rows:
         lines = t.split("\n")
-        for k in range(len(lines) - 2):
-            if first.setdefault(tuple(lines[k : k + 3]), (i, k)) != (i, k):
-                gone[i].update(range(k, k + 3))
+        for n in (1, 2, 3):
+            for k in range(len(lines) - n + 1):
+                run = tuple(lines[k : k + n])
+                if (n == 3 or len(re.findall(r"[^\x20\x09-\x0D]+", "\n".join(run))) >= 50) and first.setdefault(run, (i, k)) != (i, k):
+                    gone[i].update(range(k, k + n))
     wanted = []
     for i, t in texts:
         lines = [] if t is None else t.split("\n")
@@ -201,6 +203,16 @@ def test_lines(docs, empty, texts):
     out = line_dedup.line_dedup(docs)
     assert out.where("doc_id = 67").first()["text"] == "q" and out.where("doc_id = 5").first()["text"] is None
     assert line_dedup.report(empty).count() == 0
+    removed = {r[0]: r[2] for r in got}
+    assert [removed[20 + k] for k in range(5)] == [0, 1, 1, 1, 1]  # a passage of 90 words on one line
+
+
+def test_passages_of_few_lines(spark):
+    rnd = random.Random(3)
+    head, tail, long, short = words(rnd, 30), words(rnd, 25), words(rnd, 60), words(rnd, 5)
+    rows = [(1, f"a\n{head}\n{tail}\nb"), (2, f"c\n{head}\n{tail}\nd"), (3, f"{head}\ne"), (4, f"{tail}\n{short}\n{long}"), (5, f"f\n{short}\n{long}"), (6, f"{short}\n{words(rnd, 70)}\n{short}"), (7, f"{long}\n{long}")]
+    got = dict(line_dedup.line_dedup(spark.createDataFrame(rows, "doc_id long, text string")).select("doc_id", "text").collect())
+    assert got == dict(rows) | {2: "c\nd", 5: "f", 7: ""}
 
 
 def test_bpe(docs, empty, texts):
