@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import dates, numbers, text
-from ..operators import binning, clustering, features, layout, profiling, relational, statistics
-from ..sources import html
+from ..operators import binning, certificates, clustering, features, layout, profiling, relational, statistics
+from ..sources import files, html
+from ..streaming import incremental
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -559,6 +562,170 @@ def stratified_diagnostics(spark, d):
     return out.select("l_linestatus", "n", F.round("mean", 6).alias("mean"))
 
 
+# --- document tables
+
+ID = "CASE WHEN k % 2 = 0 THEN 'c' || k WHEN k % 3 = 0 THEN 'p' || k ELSE 'doc_' || k || '_calificadas_x.pdf' END"
+CERTIFIED = f"(SELECT {ID} AS document_id, k, n, o_custkey, o_orderpriority, o_orderdate FROM (SELECT o_orderkey AS k, o_custkey % 300 + 0.5::DOUBLE AS n, o_custkey, o_orderpriority, o_orderdate FROM orders) WHERE k % 7 <> 0) d"
+
+
+def certificate_docs(spark, d):
+    """A document an order: the rows of its regions; every seventh has the wrong number of pages."""
+    k, n = F.col("o_orderkey"), F.format_string("%d,5", F.col("o_custkey") % 300)
+    rows = lambda *xs: F.array(*[F.lit(x) if isinstance(x, str) else x for x in xs])
+    regions = {
+        "page_01_region_01": rows(F.concat(F.lit("Codigo: "), F.when(k % 3 == 0, F.concat(F.lit("p"), k)).otherwise("")), "Region: Maule", F.concat(F.lit("Comuna: "), F.col("o_orderpriority")), "Direccion: x", F.concat(F.lit("Rol: "), F.col("o_custkey")), "Tipo: casa", F.concat(F.lit("Sup: "), n)),
+        "page_01_region_02": rows(F.concat(F.lit("AHORRO "), F.col("o_custkey") % 90, F.lit("% B"))), "page_01_region_03": rows(F.concat(F.lit("demanda 10 "), n)), "page_01_region_04": rows("x"), "page_01_region_05": rows(F.concat(F.lit("emitida "), F.date_format("o_orderdate", "dd-MM-yyyy"))),
+        "page_02_region_01": rows("Zona: D", "57", "Sol: s", "Ev: e", F.concat(F.lit("Codigo:"), F.when(k % 2 == 0, F.concat(F.lit(" c"), k)).otherwise(""))), "page_03_region_01": rows(F.concat(F.lit("a "), n), "2", "x", "1.000,25"), "page_03_region_02": rows(F.concat(F.lit("total 12 "), n)),
+        "page_03_region_04": rows("Bomba", "LED", "", "PV"), "page_03_region_05": rows(n, "1", "2", "3"), "page_03_region_06": rows("Ref"), "page_03_region_07": rows("4"), "page_03_region_08": rows(n, "1", "2", "3"), "page_03_region_09": rows("5", "6"), "page_03_region_10": rows(n), "page_03_region_12": rows("7", "8", "0,9"),
+        "page_03_region_13": rows(n, "2"), "page_03_region_14": rows("3", n), "page_03_region_15": rows("0,7 -0,3 0,3 0 0", F.concat(n, F.lit(" x 2"))), "page_03_region_16": rows("0,5"),
+    }
+    mapped = F.create_map(*[x for name, value in regions.items() for x in (F.lit(name), value)])
+    return table(spark, d, "orders").select(F.format_string("doc_%d_calificadas_x.pdf", k).alias("source_pdf"), F.when(k % 7 == 0, 4).otherwise(certificates.PAGES).alias("n_pages"), mapped.alias("regions"))
+
+
+def certificate_rows(spark, d):
+    """Rows of two regions: an even line follows the odd one before it without a gap."""
+    line = F.col("l_linenumber")
+    rows = table(spark, d, "lineitem").select("l_orderkey", line.cast("double").alias("l_linenumber")).distinct()
+    y0 = line * 20
+    shown = {certificates.MATERIAL_REGION: F.format_string("capa %.0f", line), certificates.REQUIREMENT_REGION: F.when(line % 2 == 1, F.format_string("%.0f,5", line)).otherwise("[W/m2K]")}
+    each = F.explode(F.array(*[F.struct(F.lit(r).alias("region_id"), t.alias("text")) for r, t in shown.items()]))
+    rows = rows.select(F.format_string("doc_%d_calificadas_x.pdf", "l_orderkey").alias("source_pdf"), F.lit(0.0).alias("x0"), y0.alias("y0"), F.lit(1.0).alias("x1"), (y0 + F.when(line % 2 == 1, 18.0).otherwise(8.0)).alias("y1"), F.lit(1).alias("n_words"), each.alias("r"))
+    return rows.select("source_pdf", "r.*", "x0", "y0", "x1", "y1", "n_words")
+
+
+def certificate_table(spark, d, name):
+    return certificates.build_all(certificate_docs(spark, d), certificate_rows(spark, d))[name]
+
+
+@query(f"""SELECT document_id, 'doc_' || k || '_calificadas_x.pdf' AS source_pdf, 'calificada' AS estado_cev, 'Maule' AS region, o_orderpriority AS comuna, 'x' AS direccion, CAST(o_custkey AS VARCHAR) AS rol_vivienda, 'casa' AS tipo_vivienda, n AS superficie_util, CAST(o_custkey % 90 AS DOUBLE) AS ahorro, 'B' AS etiqueta, n AS demanda_calef, NULL::DOUBLE AS demanda_refri, strftime(o_orderdate, '%d-%m-%Y') AS fecha_emision, 'D' AS zona_termica, 's' AS solicitante, 'e' AS evaluador FROM {CERTIFIED}""")
+def table_descripcion_general(spark, d):
+    return certificate_table(spark, d, "descripcion_general")
+
+
+@query(f"SELECT document_id, n AS acs_kwhm2, 2.0::DOUBLE AS ilum_kwhm2, NULL::DOUBLE AS calef_kwhm2, 1000.25::DOUBLE AS ernc_kwhm2, n AS consumo_kwhm2, NULL::DOUBLE AS emisiones_co2 FROM {CERTIFIED}")
+def table_requerimientos(spark, d):
+    return certificate_table(spark, d, "requerimientos")
+
+
+@query(f"""SELECT document_id, 'Bomba' AS calef_proyec_descripcion, 'LED' AS ilum_proyec_descripcion, NULL::VARCHAR AS acs_proyec_descripcion, 'PV' AS ernc_proyec_descripcion, 'Ref' AS calef_ref_descripcion, NULL::VARCHAR AS ilum_ref_descripcion, NULL::VARCHAR AS acs_ref_descripcion, NULL::VARCHAR AS ernc_ref_descripcion,
+n AS calef_proyec_kwh, 1.0::DOUBLE AS ilum_proyec_kwh, 2.0::DOUBLE AS acs_proyec_kwh, 3.0::DOUBLE AS ernc_proyec_kwh, 4.0::DOUBLE AS calef_ref_kwh, NULL::DOUBLE AS ilum_ref_kwh, NULL::DOUBLE AS acs_ref_kwh, NULL::DOUBLE AS ernc_ref_kwh FROM {CERTIFIED}""")
+def table_descripcion_equipos(spark, d):
+    return certificate_table(spark, d, "descripcion_equipos")
+
+
+@query(f"""SELECT document_id, n AS consumo_primario_calef, 1.0::DOUBLE AS consumo_primario_acs, 2.0::DOUBLE AS consumo_primario_ilum, 3.0::DOUBLE AS consumo_primario_vent, 5.0::DOUBLE AS generacion_pv, 6.0::DOUBLE AS pv_consumos_basicos, NULL::DOUBLE AS dif_pv_consumo, n AS st_calef, NULL::DOUBLE AS st_acs,
+NULL::DOUBLE AS consumo_primario, NULL::DOUBLE AS aporte_pv, NULL::DOUBLE AS consumos_energia_externa, 7.0::DOUBLE AS consumo_primario_2, 8.0::DOUBLE AS energia_ref, 0.9::DOUBLE AS coef_energetico_c FROM {CERTIFIED}""")
+def table_requerimientos_total(spark, d):
+    return certificate_table(spark, d, "requerimientos_total")
+
+
+@query(f"SELECT document_id, o AS orientacion, CASE i WHEN 1 THEN n WHEN 2 THEN 2.0 END AS area, CASE i WHEN 1 THEN 0.5::DOUBLE END AS u FROM (SELECT document_id, n, unnest({certificates.OPAQUE!r}) AS o, unnest(range(1, {len(certificates.OPAQUE) + 1})) AS i FROM {CERTIFIED})")
+def table_elementos_opacos(spark, d):
+    return certificate_table(spark, d, "elementos_opacos")
+
+
+@query(f"SELECT document_id, o AS orientacion, CASE i WHEN 1 THEN 3.0 WHEN 2 THEN n END AS area, NULL::DOUBLE AS u FROM (SELECT document_id, n, unnest({certificates.GLAZED!r}) AS o, unnest(range(1, {len(certificates.GLAZED) + 1})) AS i FROM {CERTIFIED})")
+def table_elementos_traslucidos(spark, d):
+    return certificate_table(spark, d, "elementos_traslucidos")
+
+
+@query(f"""SELECT document_id, 'n' AS orientacion, 0.7::DOUBLE AS p01, -0.3::DOUBLE AS p02, 0.3::DOUBLE AS p03, 0.0::DOUBLE AS p04, 0.0::DOUBLE AS p05 FROM {CERTIFIED}
+UNION ALL SELECT document_id, 'ne', n, 2.0, NULL, NULL, NULL FROM {CERTIFIED}""")
+def table_puentes_termicos(spark, d):
+    return certificate_table(spark, d, "puentes_termicos")
+
+
+WRAPPED = f"""WITH l AS (SELECT DISTINCT l_orderkey AS k, l_linenumber AS n FROM lineitem), b AS (SELECT *, coalesce(n % 2 = 0 AND lag(n) OVER (PARTITION BY k ORDER BY n) = n - 1, false) AS goes_on FROM l),
+r AS (SELECT *, sum(CAST(NOT goes_on AS INTEGER)) OVER (PARTITION BY k ORDER BY n ROWS UNBOUNDED PRECEDING) AS record FROM b),
+t AS (SELECT k, record, string_agg('capa ' || n, ' ' ORDER BY n) AS material, CASE WHEN count(*) = 2 THEN min(n) + 0.5::DOUBLE END AS u, string_agg(CASE WHEN n % 2 = 1 THEN n || ',5' ELSE '[W/m2K]' END, ' ' ORDER BY n) AS shown FROM r GROUP BY 1, 2),
+e AS (SELECT document_id, k, unnest({certificates.ELEMENTS!r}) AS elemento, unnest(range(1, {len(certificates.ELEMENTS) + 1})) AS record FROM {CERTIFIED})"""
+
+
+@query(WRAPPED + " SELECT document_id, elemento, material AS descripcion FROM e LEFT JOIN t USING (k, record)")
+def table_materialidades(spark, d):
+    return certificate_table(spark, d, "materialidades")
+
+
+@query(WRAPPED + " SELECT document_id, elemento, shown AS exigencia_texto, u AS exigencia_u FROM e LEFT JOIN t USING (k, record)")
+def table_exigencia_u_normativa(spark, d):
+    return certificate_table(spark, d, "exigencia_u_normativa")
+
+
+@query("""WITH p AS (SELECT l_orderkey, max(l_extendedprice) FILTER (WHERE l_returnflag = 'A') AS price_A, max(l_extendedprice) FILTER (WHERE l_returnflag = 'N') AS price_N, max(l_extendedprice) FILTER (WHERE l_returnflag = 'R') AS price_R FROM lineitem GROUP BY 1),
+r AS (SELECT c_custkey, s_suppkey, s_acctbal, row_number() OVER (PARTITION BY c_custkey ORDER BY (s_acctbal > c_acctbal) DESC NULLS FIRST, (substr(s_name, -1) = substr(c_name, -1)) DESC NULLS FIRST, s_suppkey) AS k FROM customer LEFT JOIN supplier ON s_nationkey = c_nationkey)
+SELECT o_custkey AS c_custkey, p.*, o_totalprice, s_suppkey, s_acctbal FROM p JOIN orders ON o_orderkey = l_orderkey LEFT JOIN r ON r.c_custkey = o_custkey AND k = 1""")
+def serving_view(spark, d):
+    return flagship(spark, d)
+
+
+# --- names, labels and points
+
+LABELS = "['Pre-Calificación', ' Calificación ', 'otro', 'precalificacion 2', '']"
+ZONES = "['zona d', 'H ', '3', 'CL I', 'x-a']"
+
+
+@query(f"""SELECT o_orderkey, CASE WHEN contains(f, 'calificacion') AND contains(f, 'pre') THEN 'precalificada' WHEN contains(f, 'calificacion') THEN 'calificada' ELSE trim(s) END AS status, CASE WHEN regexp_matches(trim(z), '[A-Ia-i]$') THEN upper(right(trim(z), 1)) ELSE trim(z) END AS zone
+FROM (SELECT o_orderkey, s, z, lower(strip_accents(trim(s))) AS f FROM (SELECT o_orderkey, {LABELS}[o_orderkey % 5 + 1] AS s, {ZONES}[o_custkey % 5 + 1] AS z FROM orders))""")
+def status_and_zone(spark, d):
+    labels, zones = (F.array(*[F.lit(x) for x in eval(v)]) for v in (LABELS, ZONES))
+    rows = table(spark, d, "orders").select("o_orderkey", labels[(F.col("o_orderkey") % 5).cast("int")].alias("s"), zones[(F.col("o_custkey") % 5).cast("int")].alias("z"))
+    return rows.select("o_orderkey", text.status(F.col("s")).alias("status"), text.zone(F.col("z")).alias("zone"))
+
+
+@query("""SELECT o_orderkey, CASE o_orderkey % 3 WHEN 0 THEN CAST(o_custkey % 100 AS DOUBLE) WHEN 1 THEN o_custkey % 100 + 0.5 END AS saving, CASE o_orderkey % 3 WHEN 0 THEN 'C' END AS label FROM orders""")
+def saving_label(spark, d):
+    k, n = F.col("o_orderkey") % 3, F.col("o_custkey") % 100
+    shown = F.when(k == 0, F.concat(F.lit("AHORRO "), n, F.lit("% C fin"))).when(k == 1, F.concat(F.lit("("), n, F.lit(",5)"))).otherwise("sin dato")
+    saving = numbers.saving_and_label(F.split(shown, " "))
+    return table(spark, d, "orders").select("o_orderkey", saving["saving"].alias("saving"), saving["label"].alias("label"))
+
+
+@query("""SELECT c_custkey, replace(printf('%.2f%%', c_acctbal), '.', ',') AS shown, contains(lower(c_mktsegment), 'build') AS building, regexp_matches(c_mktsegment, '\\bHOUSE\\b') AS house, split_part(c_name, '#', 2) AS code FROM customer""")
+def text_predicates(spark, d):
+    return table(spark, d, "customer").select("c_custkey", text.percent_text(F.col("c_acctbal")).alias("shown"), text.contains_fold(F.col("c_mktsegment"), "Build").alias("building"), text.has_word(F.col("c_mktsegment"), "HOUSE").alias("house"), text.after_colon(F.replace("c_name", F.lit("#"), F.lit(": "))).alias("code"))
+
+
+@query("""SELECT event_id, CASE WHEN n = 1 THEN event_type || s ELSE event_type || '_' || n || s END AS name FROM (SELECT *, CASE WHEN event_id % 2 = 0 THEN '.pdf' ELSE '.bin' END AS s, row_number() OVER (PARTITION BY event_type, event_id % 2 ORDER BY event_id) AS n FROM events)""")
+def sniffed_unique_names(spark, d):
+    content = F.when(F.col("event_id") % 2 == 0, F.encode(F.lit("%PDF-1.7"), "utf-8")).otherwise(F.encode(F.lit("<html>"), "utf-8"))
+    rows = table(spark, d, "events").select("event_id", files.sniffed_name(F.col("event_type"), content, F.lit("text/html")).alias("name"))
+    return files.unique_names(rows, "name", "event_id")
+
+
+@query("""SELECT c_custkey, 'POINT(' || c_nationkey || ' ' || c_custkey || ')' AS point FROM customer""")
+def wkt_points(spark, d):
+    return table(spark, d, "customer").select("c_custkey", relational.wkt_point(F.col("c_nationkey"), F.col("c_custkey")).alias("point"))
+
+
+# --- features
+
+@query(f"""WITH i AS (SELECT l_orderkey, coalesce(l_tax, (SELECT median(l_tax) FROM {NULLED})) AS t, coalesce(l_discount, (SELECT median(l_discount) FROM {NULLED})) AS s FROM {NULLED}), m AS (SELECT avg(t) AS mt, stddev_pop(t) AS dt, avg(s) AS ms, stddev_pop(s) AS ds FROM i)
+SELECT l_orderkey, round((t - mt) / dt, 8) + 0.0 AS l_tax, round((s - ms) / ds, 8) + 0.0 AS l_discount FROM i, m""")
+def impute_standardise(spark, d):
+    rows = with_nulls(table(spark, d, "lineitem")).select("l_orderkey", "l_tax", "l_discount")
+    cols = ["l_tax", "l_discount"]
+    out = features.standardise(features.impute(rows, features.imputation_values(rows, cols, [])), cols)
+    return out.select("l_orderkey", *[(F.round(c, 8) + 0.0).alias(c) for c in cols])
+
+
+@query("""SELECT l_orderkey, l_linenumber, coalesce(CAST(l_returnflag = 'A' AS DOUBLE), 0) AS l_returnflag_A, coalesce(CAST(l_returnflag = 'N' AS DOUBLE), 0) AS l_returnflag_N, coalesce(CAST(l_returnflag = 'R' AS DOUBLE), 0) AS l_returnflag_R FROM lineitem""")
+def one_hot_columns(spark, d):
+    out, new = features.one_hot(table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag"), ["l_returnflag"])
+    return out.select("l_orderkey", "l_linenumber", *new)
+
+
+# --- incremental mode
+
+@query("""SELECT event_id, user_id, event_type, value FROM (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id DESC) AS k FROM events) WHERE k = 1""")
+def incremental_upsert(spark, d):
+    """The events as a stream of files (a pattern, since a stream takes a file only so), upserted by key in micro-batches, then the newest row of every key."""
+    base = f"{spark.conf.get('spark.checkpoint.dir', None) or 'file://' + tempfile.mkdtemp()}/incremental-{uuid.uuid4().hex}"
+    stream = incremental.new_files(spark, f"{d}/events.parque[t]", table(spark, d, "events").schema)
+    incremental.upsert_stream(stream, ["user_id", "event_type"], "event_id", f"{base}/rows", f"{base}/state").awaitTermination()
+    return incremental.read_latest(spark, f"{base}/rows", ["user_id", "event_type"]).select("event_id", "user_id", "event_type", "value")
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The serving view: pivot, inner join, best match."""
     pivot = pivot_filtered_max(spark, sf_dir)
