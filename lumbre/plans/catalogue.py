@@ -595,7 +595,7 @@ def certificate_rows(spark, d):
 
 
 def certificate_table(spark, d, name):
-    return certificates.build_all(certificate_docs(spark, d), certificate_rows(spark, d))[name]
+    return certificates.build(name, certificate_docs(spark, d), certificate_rows(spark, d))
 
 
 @query(f"""SELECT document_id, 'doc_' || k || '_calificadas_x.pdf' AS source_pdf, 'calificada' AS estado_cev, 'Maule' AS region, o_orderpriority AS comuna, 'x' AS direccion, CAST(o_custkey AS VARCHAR) AS rol_vivienda, 'casa' AS tipo_vivienda, n AS superficie_util, CAST(o_custkey % 90 AS DOUBLE) AS ahorro, 'B' AS etiqueta, n AS demanda_calef, NULL::DOUBLE AS demanda_refri, strftime(o_orderdate, '%d-%m-%Y') AS fecha_emision, 'D' AS zona_termica, 's' AS solicitante, 'e' AS evaluador FROM {CERTIFIED}""")
