@@ -85,16 +85,20 @@ def anchors(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, ...]:
     return text, at, before, after, grams[at].view(np.int64), whole.view(np.int64)
 
 
-def pieces(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """(first text, place in it, bytes, bounds): all texts at once, or a text longer than PIECE in pieces that overlap by three sizes."""
+def pieces(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, int, int]]:
+    """(first text, place in it, bytes, bounds, from, to): all texts at once, or a text longer than PIECE in pieces that overlap by three sizes.
+
+    Anchors of the places [from, to) of bytes are a piece's own: these ranges meet without overlap, and contexts in them are whole.
+    """
     if len(data) <= PIECE:
-        yield 0, 0, data, offsets
+        yield 0, 0, data, offsets, 0, len(data)
         return
     for t in range(len(offsets) - 1):
         own = data[offsets[t] : offsets[t + 1]]
-        for low in range(0, max(1, len(own) - 3 * SIZE), PIECE - 3 * SIZE):
+        step = PIECE - 3 * SIZE
+        for low in range(0, max(1, len(own) - 3 * SIZE), step):
             part = own[low : low + PIECE]
-            yield t, low, part, np.array([0, len(part)])
+            yield t, low, part, np.array([0, len(part)]), SIZE if low else 0, step + SIZE if low + step < len(own) - 3 * SIZE else len(part)
 
 
 def find_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -103,13 +107,11 @@ def find_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk in chunks(batch):
             rid = np.asarray(column(chunk, "rid"))
             data, offsets = text_bytes(column(chunk, "text"))
-            for first, low, part, bounds in pieces(data, offsets):
+            for first, low, part, bounds, own, to in pieces(data, offsets):
                 text, at, before, after, gram, whole = anchors(part, bounds)
-                if low or len(part) < len(data) and first + 1 < len(offsets) and low + len(part) < offsets[first + 1] - offsets[first]:
-                    # Contexts that a piece cuts short are found whole in the piece beside it.
-                    size = int(offsets[first + 1] - offsets[first])
-                    ok = (before == np.minimum(at + low, SIZE - GRAM)) & (after == np.minimum(size - at - low, SIZE))
-                    text, at, before, after, gram, whole = (x[ok] for x in (text, at, before, after, gram, whole))
+                # Every place is one piece's own: two rows of one place would make a unique context a repeated one.
+                ok = (at >= own) & (at < to)
+                text, at, before, after, gram, whole = (x[ok] for x in (text, at, before, after, gram, whole))
                 if len(at):
                     place = at - bounds[text] + low
                     yield pa.RecordBatch.from_arrays([pa.array(rid[first + text]), pa.array(place), pa.array(before), pa.array(after), pa.array(gram), pa.array(whole)], ["rid", "at", "before", "after", "gram", "context"])

@@ -171,6 +171,26 @@ def test_anchors_of_long_texts_in_pieces(monkeypatch):
     assert rows() == whole and len(whole) > 50
 
 
+def test_long_texts_in_pieces_against_brute_force(spark, monkeypatch):
+    def in_small_pieces(batches):  # the tasks have modules of their own
+        from lumbre.llm import substring_dedup as own
+
+        size, own.PIECE = own.PIECE, 5000
+        try:
+            yield from own.find_anchors(batches)
+        finally:
+            own.PIECE = size
+
+    rnd = random.Random(12)
+    long, passage = words(rnd, 6000), words(rnd, 150)
+    rows = [(1, long), (2, words(rnd, 2000) + passage + words(rnd, 1500)), (3, long[8000:14_000] + words(rnd, 3000)), (4, passage), (5, words(rnd, 5000)), (6, words(rnd, 833))]
+    rows += [(7, words(rnd, 3000)[:n]) for n in (5000, 5001, 6200, 8800, 8801, 10_000)]
+    rows += [(8, rows[4][1]), (9, "a" * 12_000), (5, rows[4][1])]
+    monkeypatch.setattr(substring_dedup, "find_anchors", in_small_pieces)
+    got = [tuple(r) for r in substring_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+    assert sorted(got) == sorted(substring_brute(rows, 400))
+
+
 def test_transform_against_brute_force():
     rnd = random.Random(9)
     for size in (3, 8):
