@@ -99,25 +99,28 @@ class ItemIndex:
                 yield int(text[a]), int(item[a]), best[0], best[1] - first
 
     def best(self, h: np.ndarray, hits: np.ndarray, item: int, size: int, first: int, last: int) -> tuple[float, int] | None:
+        """Similarity and start of the first best of all windows, if it reaches SIMILARITY. Every window is compared exactly.
+
+        A hit counts in a window that holds it, unless the window also holds as many hits of the same shingle before it as the item has
+        in all. So each counts for the starts of one range, and the windows' shares are sums of ranges; they are largest where a range begins.
+        """
         length = min(size, last - first)
-        starts = np.unique((hits[:, None] - np.arange(length)).ravel())
-        starts = starts[(starts >= first) & (starts + length <= last)]
-        held = np.searchsorted(hits, starts + length) - np.searchsorted(hits, starts)
-        starts = starts[held >= SIMILARITY * size]
-        best: tuple[float, int] | None = None
-        for i in range(0, len(starts), 512):
-            part = starts[i : i + 512]
-            prints = np.empty(len(part), np.uint64)
-            for cut in np.split(np.arange(len(part)), np.flatnonzero(np.diff(part) > length) + 1):
-                low, high = int(part[cut[0]]), int(part[cut[-1]]) + length
-                sums = np.concatenate([np.zeros((1, 64), np.int64), np.cumsum(simhash_sums(h[low:high]), axis=0)])
-                prints[cut] = fingerprint(sums[part[cut] + length - low] - sums[part[cut] - low])
-            for w, other in self.candidates(prints, size):
-                if other == item:
-                    s = self.similarity(h[part[w] : part[w] + length], item)
-                    if s >= SIMILARITY and (best is None or s > best[0]):
-                        best = (s, int(part[w]))
-        return best
+        _, shingles, counts = self.items[item]
+        which = np.searchsorted(shingles, h[hits])
+        order = np.argsort(which, kind="stable")
+        which, place = which[order], hits[order]
+        back = np.arange(len(place)) - counts[which]
+        full = (back >= 0) & (which[back] == which)
+        begins = np.maximum(np.maximum(place - length, np.where(full, place[back], -1)) + 1, first)
+        ends = np.minimum(place, last - length)
+        some = begins <= ends
+        if not some.any():
+            return None
+        starts = np.unique(begins[some])
+        both = np.searchsorted(np.sort(begins[some]), starts, "right") - np.searchsorted(np.sort(ends[some]), starts, "left")
+        k = int(both.argmax())
+        s = float(both[k] / (length + size - both[k]))
+        return (s, int(starts[k])) if s >= SIMILARITY else None
 
     def similarity(self, window: np.ndarray, item: int) -> float:
         _, shingles, counts = self.items[item]

@@ -334,6 +334,33 @@ def test_contamination(spark, empty):
     assert decontaminate.contaminated(docs, bench.limit(0)).count() == 0 and decontaminate.contaminated(empty, bench).count() == 0
 
 
+def test_every_window_is_compared_whatever_its_fingerprint():
+    rnd = random.Random(8)
+    items, texts = [], []
+    for n, blank in ((154, 17), (204, 20), (204, 24), (404, 53)):
+        for _ in range(10):  # a run of one word in the middle of a copy
+            item = words(rnd, n).split(" ")
+            low = (n - blank) // 2
+            items.append(" ".join(item))
+            texts.append(" ".join([words(rnd, 30), *item[:low], *["_"] * blank, *item[low + blank :], words(rnd, 30)]))
+    for _ in range(30):  # repeated shingles in items and texts, texts shorter than items, ties
+        some = " ".join(rnd.choice("ab") for _ in range(rnd.randint(5, 30)))
+        items.append(some)
+        texts += [" ".join(rnd.choice("ab") for _ in range(rnd.randint(1, 60))), some[: rnd.randint(1, len(some))] + " " + some]
+    index = decontaminate.ItemIndex(list(range(len(items))), items)
+    h, bounds = decontaminate.text_shingles(pa.array(texts))
+    wanted = []
+    for t in range(len(texts)):
+        own = h[bounds[t] : bounds[t + 1]]
+        for i, (_, shingles, _) in enumerate(index.items):
+            size = min(int(index.sizes[i]), len(own))
+            near = [index.similarity(own[k : k + size], i) for k in range(len(own) - size + 1)] if np.isin(own, shingles).any() else [0.0]
+            if max(near) >= decontaminate.SIMILARITY:
+                wanted.append((t, i, max(near), near.index(max(near))))
+    assert {t for t, *_ in wanted} >= set(range(40))
+    assert list(index.matches(h, bounds)) == wanted
+
+
 def test_hamming_blocks_find_all_within_radius():
     rng = np.random.default_rng(0)
     texts = [" ".join(map(str, rng.integers(0, 99, 30))) for _ in range(20)]
