@@ -1,10 +1,12 @@
-"""Benchmark decontamination by SimHash fingerprints of item-sized windows.
+"""Benchmark decontamination by exact similarity of item-sized windows.
 
-A benchmark item and a window of a document's words (as many words as the item has) have 64-bit SimHash fingerprints of their five-word
-shingles, weighted by count. Fingerprints are cut into eight blocks of eight bits: two that differ in at most RADIUS = 23 bits differ in at most
-two bits in some block, so looking each block up under all values within two flips finds every item within the radius. Candidates are verified by the
-exact weighted Jaccard similarity of the shingle counts. Before that, windows are passed over exactly where they can't reach
-the similarity: at least that share of the item's shingles must be among theirs.
+Pairs of a document and a benchmark item come from an index of the items' five-word shingles: a pair is passed over where it can't reach the
+similarity, as at least that share of the item's shingles must be among the document's. All windows of a pair (as many shingles as the item has)
+are compared by the exact weighted Jaccard similarity of the shingle counts.
+
+ItemIndex.candidates() looks up 64-bit SimHash fingerprints: cut into eight blocks of eight bits, two that differ in at most RADIUS = 23 bits differ
+in at most two bits in some block, so each block under all values within two flips finds every item within the radius. The search doesn't use
+it: windows of the similarity or more can be outside the radius.
 
 Nulls: a null text or item is empty. Documents or items of fewer than five words: such an item identifies nothing and is left out; a document
 shorter than the item is one window. Empty tables: no rows. Ties: the first of the best windows is reported. Repeated rows: each has its row.
