@@ -14,6 +14,7 @@ shorter than the item is one window. Empty tables: no rows. Ties: the first of t
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterator
 
 import numpy as np
@@ -50,6 +51,7 @@ class ItemIndex:
         for k, item_id in enumerate(item_ids):
             if len((texts[k] or "").split()) >= 5:
                 self.items.append((item_id, *np.unique(h[bounds[k] : bounds[k + 1]], return_counts=True)))
+        self.left_out = len(item_ids) - len(self.items)
         self.sizes = np.array([n.sum() for _, _, n in self.items], np.int64)
         self.prints = np.array([fingerprint(np.repeat(simhash_sums(s), n, axis=0).sum(0)) for _, s, n in self.items], np.uint64)
         owners = np.repeat(np.arange(len(self.items)), [len(s) for _, s, _ in self.items])
@@ -147,7 +149,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     """One row for every document and item it holds: doc_id, item_id, similarity, first_word, text_hash."""
     rows = as_rows(docs, id_col, text_col)
     schema = "doc_id long, item_id long, similarity double, first_word long, text_hash long"
-    out = None
+    out, left_out = None, 0
     for block in item_blocks(benchmark):
         index = ItemIndex([r[0] for r in block], [r[1] for r in block])
 
@@ -161,6 +163,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
         found = rows.withColumn("mark", F.xxhash64("text")).mapInArrow(run, schema)
         out = found if out is None else out.unionByName(found)
+        left_out += index.left_out
+    if left_out:
+        warnings.warn(f"{left_out} benchmark items of fewer than five blank-separated words were left out: copies of them are not found", stacklevel=2)
     return docs.sparkSession.createDataFrame([], schema) if out is None else out
 
 

@@ -361,6 +361,16 @@ def test_every_window_is_compared_whatever_its_fingerprint():
     assert list(index.matches(h, bounds)) == wanted
 
 
+def test_items_left_out_are_counted(spark, recwarn):
+    docs = spark.createDataFrame([(1, "one two three four five six")], "doc_id long, text string")
+    bench = spark.createDataFrame([(1, "one two three four five"), (2, "one two"), (3, None), (4, "字" * 40)], "item_id long, text string")
+    assert [r["item_id"] for r in decontaminate.contaminated(docs, bench).collect()] == [1]
+    assert [str(w.message).split(" benchmark")[0] for w in recwarn if "left out" in str(w.message)] == ["3"]
+    recwarn.clear()
+    decontaminate.contaminated(docs, bench.where("item_id = 1"))
+    assert not [w for w in recwarn if "left out" in str(w.message)]
+
+
 def test_hamming_blocks_find_all_within_radius():
     rng = np.random.default_rng(0)
     texts = [" ".join(map(str, rng.integers(0, 99, 30))) for _ in range(20)]
