@@ -167,13 +167,17 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
     return rows.mapInArrow(run, "doc_id long, source string, mark long, good double, bad double")
 
 
+def without_scheme(source: Column) -> Column:
+    return F.regexp_replace(source, r"^([A-Za-z][A-Za-z0-9+.\-]*:)?//", "")
+
+
 def host_of(source: Column) -> Column:
-    return F.substring_index(source, "/", 1)
+    return F.substring_index(without_scheme(source), "/", 1)
 
 
 def path_of(source: Column) -> Column:
     """The host and the first step of the path."""
-    return F.substring_index(source, "/", 2)
+    return F.substring_index(without_scheme(source), "/", 2)
 
 
 def probability(log_odds: str) -> Column:

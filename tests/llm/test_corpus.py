@@ -443,6 +443,21 @@ def test_quality(spark, empty):
     assert sites.where("path = 'h0/p0'").count() == 1
 
 
+def test_sites_of_urls(spark):
+    sources = [f"{scheme}{host}/{path}" for scheme in ("https://", "http://", "//", "") for host in ("good.example", "bad.example:8080") for path in ("p/1?q=a//b", "p/2", "r/1")] + ["https://alone.example", "src0", ""]
+    rows = [(k, sources[k % len(sources)], 0.0, 0.0) for k in range(540)]
+    labels = [(k, int("good" in s), int("bad" in s)) for k, s, *_ in rows if "example/" in s or ":8080" in s]
+    scores = spark.createDataFrame(rows, "doc_id long, source string, good double, bad double")
+    sites = quality.site_posteriors(scores, spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    out = {r["path"]: r for r in sites.collect()}
+    assert out.keys() == {"good.example/p", "good.example/r", "bad.example:8080/p", "bad.example:8080/r", "alone.example", "src0", ""}
+    assert [out[p]["n"] for p in ("good.example/p", "good.example/r", "alone.example")] == [160, 80, 20]
+    assert all(out[f"good.example/{p}"]["good_shift"] > 0.5 and out[f"bad.example:8080/{p}"]["good_shift"] < -0.5 for p in "pr")
+    assert all(out[f"good.example/{p}"]["bad_shift"] < -0.5 and out[f"bad.example:8080/{p}"]["bad_shift"] > 0.5 for p in "pr")
+    found = quality.with_sites(scores.withColumn("mark", F.lit(0)), sites).where("good_shift IS NULL")
+    assert found.count() == 0
+
+
 def test_pipeline(spark):
     import corpus_pipeline
 
