@@ -26,8 +26,6 @@ from .textkernel import FOLDED, U, chunks, mix, span_hashes, text_bytes, word_sp
 
 #: Documents to learn from for each language at most (chosen by a hash of the id), and the most bytes that one may have.
 TRAIN_DOCS, TRAIN_BYTES = 250, 20_000
-#: Languages learned at most, the most frequent ones.
-LANGUAGES = 64
 #: Buckets of hashed features.
 BUCKETS = 1 << 16
 SEGMENT = 32
@@ -199,9 +197,9 @@ def held_out(doc_id: str = "doc_id"):
 
 
 def fit(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> LanguageCrf:
-    """Learn from a bounded sample of the labelled rows that aren't held out."""
+    """Learn every language, from a bounded sample of each one's labelled rows that aren't held out."""
     known = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.col("lang").cast("string").alias("lang")).where(F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & ~held_out() & F.col("text").isNotNull())
-    counts = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
+    counts = known.groupBy("lang").count().collect()
     labels = sorted(r["lang"] for r in counts)
     model = LanguageCrf(labels)
     if not labels:

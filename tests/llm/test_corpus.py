@@ -398,6 +398,17 @@ def test_language(spark, empty):
     assert language_crf.identify(empty, language_crf.fit(empty)).count() == 0
 
 
+def test_all_of_many_languages_are_learned(spark):
+    rnd = random.Random(11)
+    names = [f"l{k:02d}" for k in range(66)]
+    lexicon = {g: [words(rnd, 1) + g for _ in range(6)] for g in names}
+    make = lambda g: " ".join(rnd.choice(lexicon[g]) for _ in range(20))
+    rows = [(100 * k + i, make(g), g) for k, g in enumerate(names) for i in range(12 if k < 64 else 9)]
+    model = language_crf.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert model.labels == names
+    assert model.predict(pa.array([make(g) for g in names]))[0] == names
+
+
 def test_forward_backward_across_segments():
     rng = np.random.default_rng(3)
     emit, step = rng.random((150, 3)) + 0.01, rng.random((3, 3)) + 0.1
