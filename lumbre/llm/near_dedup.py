@@ -14,7 +14,9 @@ two best of each text and, once these have united what they can, all that remain
 either confirmed, refuted, or known to be inside one component.
 
 Nulls: a null id has component null, is kept and linked with nothing; a null or blank text has no shingle and is linked with nothing. Repeated rows of an id
-are one document. Empty table: no rows. Ties: the least id stands for its component. Very long texts are hashed in pieces.
+are one document; where its rows have different texts, each row is in the component of its own text if that is a copy of another id's, and else links come from the
+text with the least hash. Empty table: no rows. Ties: the least id stands for its component. Very long texts are hashed in pieces. Clashing names: extra columns of any name
+are kept as they are.
 """
 
 from __future__ import annotations
@@ -27,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import as_rows, column, components, partitions, skew_join, stage
+from .shared import as_rows, column, components, discard, partitions, skew_join, stage, without
 from .textkernel import U, chunks, mix, text_shingles
 
 BANDS, ROWS = 32, 4
@@ -38,7 +40,7 @@ ESTIMATE = 0.58
 #: Representatives, and shingles of theirs, that a tile of a bucket has about; a task holds two tiles at once.
 TILE, TILE_SHINGLES = 1024, 1_000_000
 #: Shingles that permutations are drawn for at once: SLOTS bytes each.
-BLOCK = 1 << 17
+BLOCK = 1 << 16
 
 
 def superminhash(h: np.ndarray, bounds: np.ndarray) -> np.ndarray:
@@ -93,7 +95,7 @@ def distinct(array: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """doc_id, n, f1 and f2 (128-bit hash of the set; null if it is empty), bands, sig (low 16 bits of the places)."""
+    """doc_id, mark, n, f1 and f2 (128-bit hash of the set; null if it is empty), bands, sig (low 16 bits of the places)."""
     for batch in batches:
         for part in chunks(batch):
             h, bounds = distinct(column(part, "text"))
@@ -109,7 +111,7 @@ def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             f2 = pa.array([signed(m & (1 << 64) - 1) if k else None for m, k in zip(marks, n, strict=True)], pa.int64())
             lists = pa.ListArray.from_arrays(pa.array(np.arange(0, len(n) * BANDS + 1, BANDS), pa.int32()), pa.array(bands.view(np.int64).ravel()))
             low = pa.array([row.tobytes() for row in sig.astype(np.uint16)], pa.binary())
-            yield pa.RecordBatch.from_arrays([column(part, "doc_id"), pa.array(n, pa.int64()), f1, f2, lists, low], ["doc_id", "n", "f1", "f2", "bands", "sig"])
+            yield pa.RecordBatch.from_arrays([column(part, "doc_id"), column(part, "mark"), pa.array(n, pa.int64()), f1, f2, lists, low], ["doc_id", "mark", "n", "f1", "f2", "bands", "sig"])
 
 
 def shingle_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -170,7 +172,7 @@ def candidates(rows: list[tuple], best: int) -> Iterator[tuple[int, int]]:
     key, lo, hi = rows[0][:3]
     tile = np.array([r[3] for r in rows])
     pivot, rep, comp, n = (np.array([r[k] for r in rows], np.int64) for k in (4, 5, 6, 7))
-    bands = np.array([r[8] for r in rows], np.int64)
+    bands = np.stack([r[8] for r in rows])
     sig = np.stack([np.frombuffer(r[9], np.uint16) for r in rows])
     here = (bands == key).argmax(1)
     names, sizes = np.unique(comp, return_counts=True)
@@ -204,6 +206,14 @@ def linked(s: np.ndarray, t: np.ndarray) -> bool:
 TILE_COLUMNS = ("key", "lo", "hi", "tile", "pivot", "rep", "comp", "n", "bands", "sig")
 
 
+def cells(array: pa.Array) -> list:
+    """The values of an array; lists as numpy arrays of their numbers."""
+    if not pa.types.is_list(array.type):
+        return array.to_pylist()
+    flat, offsets = np.asarray(array.flatten()), np.concatenate([[0], np.cumsum(np.asarray(array.value_lengths()))])
+    return [flat[a:b].copy() for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
+
+
 def per_tile(found, columns: tuple[str, ...], names: tuple[str, ...]):
     """A mapInArrow function over rows sorted by (key, lo, hi): calls found on the rows of each tile pair, which gives tuples of whole numbers."""
 
@@ -222,10 +232,12 @@ def per_tile(found, columns: tuple[str, ...], names: tuple[str, ...]):
             held.clear()
 
         for batch in batches:
-            for row in zip(*[column(batch, c).to_pylist() for c in columns], strict=True):
-                if held and held[0][:3] != row[:3]:
-                    close()
-                held.append(row)
+            for i in range(0, batch.num_rows, 256):
+                part = batch.slice(i, 256)
+                for row in zip(*[cells(column(part, c)) for c in columns], strict=True):
+                    if held and held[0][:3] != row[:3]:
+                        close()
+                    held.append(row)
             if len(done) > 50_000:
                 yield from out()
         close()
@@ -265,38 +277,45 @@ def tile_links(rows: list[tuple]) -> Iterator[tuple[int, int]]:
 
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row a document: doc_id, n_shingles, component_id, kept."""
-    rows = as_rows(docs, id_col, text_col)
+    rows = as_rows(docs, id_col, text_col).withColumn("mark", F.xxhash64("text"))
     n_tasks = partitions(docs.sparkSession)
-    sketches = stage(rows.mapInArrow(sketch, "doc_id long, n long, f1 long, f2 long, bands array<long>, sig binary"), "near-sketches")
+    sketches = stage(rows.mapInArrow(sketch, "doc_id long, mark long, n long, f1 long, f2 long, bands array<long>, sig binary"), "near-sketches")
     known = sketches.where("doc_id IS NOT NULL AND f1 IS NOT NULL")
     sets_of = stage(known.groupBy("f1", "f2").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies")), "near-sets")
-    chosen = known.join(sets_of, (known["doc_id"] == sets_of["rep"]) & (known["f1"] == sets_of["f1"]) & (known["f2"] == sets_of["f2"])).select("rep", "n", "bands", "sig")
-    reps = stage(chosen.dropDuplicates(["rep"]), "near-reps")
+    chosen = known.join(sets_of, (known["doc_id"] == sets_of["rep"]) & (known["f1"] == sets_of["f1"]) & (known["f2"] == sets_of["f2"])).select("rep", "mark", "n", "bands", "sig")
+    reps = stage(chosen.groupBy("rep").agg(F.min_by(F.struct("mark", "n", "bands", "sig"), "mark").alias("r")).select("rep", "r.*"), "near-reps")
     keyed = reps.select("rep", "n", F.explode("bands").alias("key"))
     keys = stage(keyed.groupBy("key").agg(F.min("rep").alias("pivot"), F.count("*").alias("size")).where("size > 1"), "near-keys")
     members = stage(skew_join(keyed, keys, ["key"], "size", F.xxhash64("rep"), "inner").select("key", "pivot", "rep", "n"), "near-buckets")
-    needed = members.select(F.col("rep").alias("doc_id")).distinct()
-    sets = stage(rows.join(needed, "doc_id", "left_semi").mapInArrow(shingle_sets, "rep long, shingles binary"), "near-shingles")
-    links = stage(confirm(members.where("rep <> pivot").select(F.col("pivot").alias("a"), F.col("rep").alias("b")).distinct(), sets), "near-links")
+    discard(keys)
+    needed = reps.join(members.select("rep").distinct(), "rep", "left_semi").select(F.col("rep").alias("doc_id"), "mark")
+    sets = stage(rows.join(needed, ["doc_id", "mark"], "left_semi").mapInArrow(shingle_sets, "rep long, shingles binary"), "near-shingles")
+    first = stage(confirm(members.where("rep <> pivot").select(F.col("pivot").alias("a"), F.col("rep").alias("b")).distinct(), sets), "near-links")
     dealt = lambda rows: rows.repartition(n_tasks, "key", "lo", "hi").sortWithinPartitions("key", "lo", "hi", "rep")
-    tiles = dealt(unresolved(members, components(links, "near-components"), reps))
+    tiles = dealt(unresolved(members, components(first, "near-components"), reps))
     pairs = stage(tiles.mapInArrow(per_tile(best_pairs, TILE_COLUMNS, ("a", "b")), "a long, b long").distinct(), "near-more")
-    links = stage(links.unionByName(confirm(pairs, sets)), "near-links")
+    links = stage(first.unionByName(confirm(pairs, sets)), "near-links")
+    discard(first, pairs)
     # What is still open is settled inside the tiles: pairs are never written out, only the texts that some pair needs, and links.
     tiles = stage(unresolved(members, components(links, "near-components"), reps), "near-tiles")
     asked = stage(dealt(tiles).mapInArrow(per_tile(in_question, TILE_COLUMNS, ("key", "lo", "hi", "rep")), "key long, lo long, hi long, rep long"), "near-asked")
     full = tiles.join(asked, ["key", "lo", "hi", "rep"], "left_semi").join(sets, "rep").select(*TILE_COLUMNS, "shingles")
     last = dealt(full).mapInArrow(per_tile(tile_links, (*TILE_COLUMNS, "shingles"), ("a", "b")), "a long, b long")
-    links = stage(links.unionByName(last), "near-links")
-    labels = components(links, "near-components")
+    every = stage(links.unionByName(last), "near-links")
+    discard(members, sets, links, tiles, asked, reps)
+    labels = components(every, "near-components")
     by_set = sets_of.join(labels, sets_of["rep"] == labels["node"], "left").select("f1", "f2", "copies", F.coalesce("component", "rep").alias("component_id"))
     by_set = stage(by_set, "near-by-set")
-    out = skew_join(sketches.select("doc_id", "n", "f1", "f2"), by_set, ["f1", "f2"], "copies", F.xxhash64("doc_id"))
+    discard(every, sets_of)
+    # Rows without a set are in no join: their keys are all null, and would meet in one task.
+    some = skew_join(sketches.where("f1 IS NOT NULL").select("doc_id", "n", "f1", "f2"), by_set, ["f1", "f2"], "copies", F.xxhash64("doc_id"))
+    none = sketches.where("f1 IS NULL").select("doc_id", "n", F.lit(None).cast("long").alias("component_id"))
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
-    return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+    out = some.select("doc_id", "n", "component_id").unionByName(none).select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"))
+    return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs with one document of each component."""
-    gone = near_groups(docs, id_col, text_col).where(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, F.col(f"`{id_col}`").cast("long") == F.col("_gone"), "left_anti")
+    gone = near_groups(docs, id_col, text_col).where(~F.col("kept")).select("doc_id").distinct()
+    return without(docs, gone, doc_id=F.col(f"`{id_col}`").cast("long"))

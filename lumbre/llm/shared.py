@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,23 +16,44 @@ from pyspark.sql import functions as F
 HOT_ROWS = 1000
 #: No more keys than this are ever called hot, so the hot list stays small enough to broadcast.
 HOT_KEYS = 500
+#: Bytes of an Arrow batch.
+ARROW_BYTES = 64 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that the driver and all executors share: spark.checkpoint.dir, or a new local one where it is unset (tests)."""
+    """The folder that the driver and all executors share: spark.checkpoint.dir. Only a session that is one process (tests) may go without: it gets a new local folder."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = f"file://{tempfile.mkdtemp(prefix='lumbre-')}"
         spark.conf.set("spark.checkpoint.dir", base)
     return base.rstrip("/")
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Arrow batches of at most ARROW_BYTES in this session, unless it asks for smaller ones: texts are long, and a task holds several batches at once."""
+    now = spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch", "64m").lower().rstrip("b")
+    unit = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30}.get(now[-1:], 1)
+    if (int(now.rstrip("kmg") or -1) * unit) not in range(1, ARROW_BYTES + 1):
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write df to the shared folder and read it back: cuts the lineage and survives lost executors."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/lumbre/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._staged = path
+    return out
+
+
+def discard(*frames: DataFrame) -> None:
+    """Delete what stage() wrote for these frames. Only for those that nothing still unread builds on."""
+    for df in frames:
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df._staged)
+        path.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -43,9 +66,22 @@ def partitions(spark: SparkSession) -> int:
 
 def as_rows(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Only the two columns an operator works on, under fixed names: clashing extra columns can't interfere."""
+    small_batches(df.sparkSession)
     return df.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
 
 
+def packed(df: DataFrame, **keys: Column) -> DataFrame:
+    """df as one struct column `row` with the given columns beside it: no name of df can clash with them. `row.*` gives df back."""
+    return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), *[c.alias(k) for k, c in keys.items()])
+
+
+def without(df: DataFrame, gone: DataFrame, **keys: Column) -> DataFrame:
+    """The rows of df whose keys (expressions over df) are not in gone, which has columns of these names; nulls are equal."""
+    theirs = gone.select(*[F.col(k).alias(f"gone_{k}") for k in keys])
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"gone_{k}")) for k in keys])
+    return packed(df, **keys).join(theirs, same, "left_anti").select("row.*")
+
+
 def skew_join(rows: DataFrame, groups: DataFrame, keys: list[str], size: str, salt_by: Column, how: str = "left") -> DataFrame:
     """Join rows to groups (one row a key, with its number of rows in column size) without sending a hot key to one task.
 

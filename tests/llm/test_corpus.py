@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 import public_tokenizers
 from lumbre.llm import arc_warc, bpe_trie, decontaminate, exact_dedup, language_crf, line_dedup, near_dedup, quality, shared, substring_dedup, token_store
 
-SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, h long, rep long, kept string"
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, h long, rep long, kept string, _gone long, _sha string, _mark long, _lines string, `row` string, mark long"
 WORD = "word_bpe_49k.json"
 BYTE = "byte_bpe_50k.json"
 
@@ -42,7 +42,7 @@ def texts():
 
 @pytest.fixture(scope="module")
 def docs(spark, texts):
-    return spark.createDataFrame([(i, t, "en" if (i or 0) % 2 else None, None if i == 7 else "a/b/c", 0, 1, 2, "x") for i, t in texts], SCHEMA).repartition(3)
+    return spark.createDataFrame([(i, t, "en" if (i or 0) % 2 else None, None if i == 7 else "a/b/c", 0, 1, 2, "x", i, "s", 3, "l", "r", 4) for i, t in texts], SCHEMA).repartition(3)
 
 
 @pytest.fixture(scope="module")
@@ -68,13 +68,38 @@ def test_exact(docs, empty, texts):
 
 
 def test_directory_splits():
-    counts = np.zeros(1 << exact_dedup.MAX_DEPTH)
+    counts = np.zeros(1 << exact_dedup.DEPTH)
     counts[:100] = 50
     counts[40_000] = 9000
-    d = exact_dedup.directory(counts, 200)
+    d, local = exact_dedup.directory(counts, 200)
     load = np.bincount(np.repeat(d, len(counts) // len(d)), counts)
-    assert sorted(load)[-1] == 9000 and sorted(load)[-2] <= 200
-    assert len(exact_dedup.directory(np.zeros(1 << 16), 1)) == 1
+    assert sorted(load)[-1] == 9000 and sorted(load)[-2] <= 200 and local.max() == exact_dedup.DEPTH
+    assert len(exact_dedup.directory(np.zeros(1 << 16), 1)[0]) == 1
+    rng = np.random.default_rng(1)
+    counts = rng.integers(0, 40, 1 << exact_dedup.DEPTH).astype(float)
+    d, _ = exact_dedup.directory(counts, 500)
+    owner = exact_dedup.owners(d, counts, 13)
+    shares = np.bincount(owner, counts)
+    assert (np.diff(owner) >= 0).all() and len(shares) == 13 and shares.max() < 1.1 * shares.mean()
+    at = np.repeat(d, len(counts) // len(d))
+    assert all(len(np.unique(owner[at == b])) == 1 for b in range(0, d.max(), 97))  # buckets are whole
+
+
+def test_buckets_below_the_table():
+    rnd = random.Random(4)
+    top = 0x1234 << 48
+    hashes = sorted({top | rnd.getrandbits(48) for _ in range(300)} | {top | 77 << 10 | rnd.getrandbits(8) for _ in range(120)} | {rnd.getrandbits(64) for _ in range(100)})
+    buckets = exact_dedup.Buckets(10, lambda h: exact_dedup.DEPTH)
+    out, most = [], 0
+    for h in hashes:
+        out += buckets.add(h, [(0, "x", 1, 1)])
+        most = max(most, len(buckets.held))
+    out += buckets.close()
+    assert [e[0] for e in out] == hashes and most <= 11
+    by = collections.Counter((e[-2], e[-1]) for e in out)
+    assert max(by.values()) <= 10 and all(e[0] >> (64 - e[-1]) == e[-2] for e in out) and max(d for _, d in by) > 50
+    same = exact_dedup.Buckets(1, lambda h: 0)
+    assert [e[-1] for e in [*same.add(5, [(k, "x", 1, 1) for k in range(4)]), *same.close()]] == [0] * 4  # a chain isn't split
 
 
 def near_brute(texts):
@@ -105,6 +130,15 @@ def test_near(docs, empty, texts):
     assert near_dedup.near_groups(empty).count() == 0
 
 
+def test_ids_of_different_texts(spark):
+    rnd = random.Random(15)
+    a, b = words(rnd, 60), words(rnd, 60)
+    docs = spark.createDataFrame([(1, a), (1, b), (2, a), (3, b), (4, words(rnd, 9))], "doc_id long, text string")
+    first = sorted(map(tuple, near_dedup.near_groups(docs).collect()))
+    assert len(first) == 5 and first == sorted(map(tuple, near_dedup.near_groups(docs.repartition(5, "text")).collect()))
+    assert {r[2] for r in first} == {1, 4}
+
+
 def test_near_in_small_tiles(docs, texts, monkeypatch):
     monkeypatch.setattr(near_dedup, "TILE", 2)
     got = [tuple(r) for r in near_dedup.near_groups(docs).collect()]
