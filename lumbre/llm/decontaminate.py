@@ -1,20 +1,21 @@
-"""Benchmark decontamination by exact similarity of item-sized windows.
+"""Benchmark decontamination by SimHash fingerprints of item-sized windows.
 
-Pairs of a document and a benchmark item come from an index of the items' five-word shingles: a pair is passed over where it can't reach the
-similarity, as at least that share of the item's shingles must be among the document's. All windows of a pair (as many shingles as the item has)
-are compared by the exact weighted Jaccard similarity of the shingle counts.
+An item is the sequence of its five-word shingles. Every window of a document with as many shingles as some item has gets a 64-bit SimHash of its
+different shingles (each counts once, so a word repeated many times can't drown the rest). The fingerprint is cut into eight blocks of
+eight bits: two that differ in at most RADIUS = 23 bits differ in at most two bits in some block, so looking up each block under all values within two flips finds every
+item of that size within the radius. Pairs of a document and an item found this way are verified by the exact weighted Jaccard similarity of the
+shingle counts, over all windows of the pair.
 
-ItemIndex.candidates() looks up 64-bit SimHash fingerprints: cut into eight blocks of eight bits, two that differ in at most RADIUS = 23 bits differ
-in at most two bits in some block, so each block under all values within two flips finds every item within the radius. The search doesn't use
-it: windows of the similarity or more can be outside the radius.
+Windows that hold too few shingles of any item to reach the similarity get no fingerprint: a bitmap over all items' shingles bounds
+each window's share from above, so this loses nothing. What can be lost are windows of similarity 0.75 or more outside the radius; the README gives the measured recall.
 
-Nulls: a null text or item is empty. Documents or items of fewer than five words: such an item identifies nothing and is left out; a document
-shorter than the item is one window. Empty tables: no rows. Ties: the first of the best windows is reported. Repeated rows: each has its row.
+Nulls: a null text or item is empty; an item without words is left out. Items of fewer than five words are one shingle, their whole sequence: they match
+documents that are that sequence, not longer ones. A document shorter than an item is one window. Empty tables: no rows. Ties: the first of the best windows is
+reported. Repeated rows: each has its row. Very long texts: windows are worked on in blocks of bounded size. Clashing names: extra columns of any name are kept as they are.
 """
 
 from __future__ import annotations
 
-import warnings
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,21 +23,22 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import as_rows, column
-from .textkernel import chunks, text_shingles
+from .shared import as_rows, column, without
+from .textkernel import U, chunks, text_shingles
 
 SIMILARITY = 0.75
 RADIUS = 23
 BLOCKS, FLIPS = 8, 2
-#: Bytes of benchmark text that one index may hold (about 40 bytes of index for each shingle); larger benchmarks are handled in as many passes as needed.
-INDEX_BYTES = 32 << 20
+#: Bytes of benchmark text that one index may hold (about 40 bytes of index for each byte); larger benchmarks are handled in as many passes as needed.
+INDEX_BYTES = 8 << 20
+#: Windows that are fingerprinted at once: 64 numbers each.
+WINDOWS = 1 << 14
 _BITS = np.arange(64, dtype=np.uint64)
-_NEAR = [[v for v in range(256) if (v ^ x).bit_count() <= FLIPS] for x in range(256)]
 
 
-def simhash_sums(h: np.ndarray) -> np.ndarray:
+def bit_signs(h: np.ndarray) -> np.ndarray:
     """For each shingle, +1 or -1 by bit of its hash."""
-    return ((h[:, None] >> _BITS) & np.uint64(1)).astype(np.int32) * 2 - 1
+    return ((h[:, None] >> _BITS) & U(1)).astype(np.int32) * 2 - 1
 
 
 def fingerprint(sums: np.ndarray) -> np.ndarray:
@@ -44,79 +46,123 @@ def fingerprint(sums: np.ndarray) -> np.ndarray:
     return ((sums > 0).astype(np.uint64) << _BITS).sum(-1, dtype=np.uint64)
 
 
+class WindowPrints:
+    """SimHashes of the different shingles of windows of a text, from running sums of the shingles' bits."""
+
+    def __init__(self, h: np.ndarray):
+        signs = bit_signs(h)
+        self.sums = np.concatenate([np.zeros((1, 64), np.int32), np.cumsum(signs, 0, dtype=np.int32)])
+        order = np.argsort(h, kind="stable")
+        same = h[order][1:] == h[order][:-1]
+        self.again, self.last = order[1:][same], order[:-1][same]  # repeated shingles, and where each was last
+        self.signs = signs[self.again]
+
+    def at(self, starts: np.ndarray, size: int) -> np.ndarray:
+        sums = self.sums[starts + size] - self.sums[starts]
+        # A repeated shingle counts once: it is taken out of the windows that hold its last occurrence too.
+        near = np.flatnonzero(self.again - self.last < size)
+        if len(near):
+            n = len(self.sums) - size
+            steps = np.zeros((n + 1, 64), np.int32)
+            begins, ends = np.maximum(0, self.again[near] - size + 1), np.minimum(self.last[near], n - 1) + 1
+            some = begins < ends
+            np.add.at(steps, begins[some], self.signs[near][some])
+            np.subtract.at(steps, ends[some], self.signs[near][some])
+            sums -= np.cumsum(steps, 0)[starts]
+        return fingerprint(sums)
+
+
 class ItemIndex:
     def __init__(self, item_ids: list[int | None], texts: list[str | None]):
         h, bounds = text_shingles(pa.array(texts, pa.string()))
         self.items: list[tuple[int | None, np.ndarray, np.ndarray]] = []  # id, distinct shingles, their counts
         for k, item_id in enumerate(item_ids):
-            if len((texts[k] or "").split()) >= 5:
+            if bounds[k + 1] > bounds[k]:
                 self.items.append((item_id, *np.unique(h[bounds[k] : bounds[k + 1]], return_counts=True)))
-        self.left_out = len(item_ids) - len(self.items)
         self.sizes = np.array([n.sum() for _, _, n in self.items], np.int64)
-        self.prints = np.array([fingerprint(np.repeat(simhash_sums(s), n, axis=0).sum(0)) for _, s, n in self.items], np.uint64)
-        owners = np.repeat(np.arange(len(self.items)), [len(s) for _, s, _ in self.items])
+        self.prints = np.array([fingerprint(bit_signs(s).sum(0)) for _, s, _ in self.items], np.uint64)
         every = np.concatenate([s for _, s, _ in self.items]) if self.items else np.zeros(0, np.uint64)
-        order = np.argsort(every, kind="stable")
-        self.every, self.owners = every[order], owners[order]
-        self.filter = np.zeros(1 << 20, bool)
-        self.filter[(every & np.uint64((1 << 20) - 1)).astype(np.int64)] = True
-        # By block and value: the items whose block is within two flips of the value.
-        self.near = [[np.zeros(0, np.int64)] * 256 for _ in range(BLOCKS)]
-        for b in range(BLOCKS):
-            values = ((self.prints >> np.uint64(8 * b)) & np.uint64(255)).astype(np.int64)
-            for v in range(256):
-                self.near[b][v] = np.flatnonzero(np.isin(values, _NEAR[v]))
+        self.filter = np.zeros(1 << 22, bool)
+        self.filter[(every >> U(42)).astype(np.int64)] = True
+        #: By size: its items, and for each block and value the items whose block is within two flips of the value.
+        self.of_size = {int(n): self.blocks(np.flatnonzero(self.sizes == n)) for n in np.unique(self.sizes)}
+
+    def blocks(self, items: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
+        values = [(self.prints[items] >> U(8 * b)).astype(np.uint8) for b in range(BLOCKS)]
+        return items, [np.bitwise_count(np.arange(256, dtype=np.uint8)[:, None] ^ v) <= FLIPS for v in values]
 
     def candidates(self, prints: np.ndarray, size: int) -> np.ndarray:
         """Pairs (window, item) within the radius, of items of that many shingles."""
-        found = []
-        for b in range(BLOCKS):
-            for v in np.unique((prints >> np.uint64(8 * b)) & np.uint64(255)):
-                items = self.near[b][int(v)]
-                items = items[self.sizes[items] == size]
-                at = np.flatnonzero(((prints >> np.uint64(8 * b)) & np.uint64(255)) == v)
-                if len(items):
-                    apart = np.bitwise_count(prints[at][:, None] ^ self.prints[items])
-                    w, i = np.nonzero(apart <= RADIUS)
-                    found.append(np.stack([at[w], items[i]], 1))
-        return np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 2), np.int64)
+        items, near = self.of_size.get(size, (np.zeros(0, np.int64), []))
+        found, step = [np.zeros((0, 2), np.int64)], max(1, (1 << 22) // max(1, len(items)))
+        for at in range(0, len(prints) if len(items) else 0, step):
+            part = prints[at : at + step]
+            maybe = near[0][(part & U(255)).astype(np.uint8)]
+            for b in range(1, BLOCKS):
+                maybe = maybe | near[b][((part >> U(8 * b)) & U(255)).astype(np.uint8)]
+            w, i = np.nonzero(maybe)
+            close = np.bitwise_count(part[w] ^ self.prints[items[i]]) <= RADIUS
+            found.append(np.stack([at + w[close], items[i[close]]], 1))
+        return np.concatenate(found)
+
+    def near_items(self, h: np.ndarray) -> list[int]:
+        """The items within the radius of some window of a text's shingles that can reach SIMILARITY."""
+        hits = np.concatenate([[0], np.cumsum(self.filter[(h >> U(42)).astype(np.int64)])])
+        windows = []
+        for size in self.of_size:
+            length = min(size, len(h))
+            starts = np.flatnonzero(hits[length:] - hits[:-length] >= SIMILARITY * size)
+            if len(starts):
+                windows.append((size, length, starts))
+        if not windows:
+            return []
+        found: set[int] = set()
+        every, longest = np.unique(np.concatenate([s for *_, s in windows])), max(n for _, n, _ in windows)
+        at = 0
+        while at < len(every):  # neighbouring windows together, a bounded number of them at once
+            low = int(every[at])
+            to = int(np.searchsorted(every, low + WINDOWS))
+            apart = np.flatnonzero(np.diff(every[at:to]) > longest)
+            to = at + int(apart[0]) + 1 if len(apart) else to
+            prints = WindowPrints(h[low : int(every[to - 1]) + longest])
+            for size, length, starts in windows:
+                own = starts[np.searchsorted(starts, low) : np.searchsorted(starts, every[to - 1], "right")] - low
+                if len(own):
+                    found.update(self.candidates(np.unique(prints.at(own, length)), size)[:, 1].tolist())
+            at = to
+        return sorted(found)
 
     def matches(self, h: np.ndarray, bounds: np.ndarray) -> Iterator[tuple[int, int, float, int]]:
         """(text, item, similarity, first word) of the best window for every text and item that reach SIMILARITY."""
-        maybe = np.flatnonzero(self.filter[(h & np.uint64((1 << 20) - 1)).astype(np.int64)])
-        lo, hi = np.searchsorted(self.every, h[maybe]), np.searchsorted(self.every, h[maybe], "right")
-        n = hi - lo
-        at = np.repeat(maybe, n)
-        item = self.owners[np.repeat(lo - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())] if len(maybe) else np.zeros(0, np.int64)
-        text = np.searchsorted(bounds, at, "right") - 1
-        if not len(at):
+        if not len(self.items):
             return
-        order = np.lexsort((at, item, text))
-        at, item, text = at[order], item[order], text[order]
-        cuts = np.flatnonzero(np.diff(text, prepend=-1) | np.diff(item, prepend=-1))
-        for a, b in zip(cuts, [*cuts[1:], len(at)], strict=True):
-            size, first, last = int(self.sizes[item[a]]), int(bounds[text[a]]), int(bounds[text[a] + 1])
-            if b - a < SIMILARITY * size:
-                continue
-            best = self.best(h, at[a:b], int(item[a]), size, first, last)
-            if best is not None:
-                yield int(text[a]), int(item[a]), best[0], best[1] - first
-
-    def best(self, h: np.ndarray, hits: np.ndarray, item: int, size: int, first: int, last: int) -> tuple[float, int] | None:
-        """Similarity and start of the first best of all windows, if it reaches SIMILARITY. Every window is compared exactly.
+        hits = np.concatenate([[0], np.cumsum(self.filter[(h >> U(42)).astype(np.int64)])])[bounds]
+        for text in np.flatnonzero(np.diff(hits) >= SIMILARITY * self.sizes.min()).tolist():
+            own = h[bounds[text] : bounds[text + 1]]
+            for item in self.near_items(own):
+                best = self.best(own, item)
+                if best is not None:
+                    yield text, item, *best
+
+    def best(self, h: np.ndarray, item: int) -> tuple[float, int] | None:
+        """Similarity and start of the first best of all windows of a text, if it reaches SIMILARITY. Every window is compared exactly.
 
         A hit counts in a window that holds it, unless the window also holds as many hits of the same shingle before it as the item has
         in all. So each counts for the starts of one range, and the windows' shares are sums of ranges; they are largest where a range begins.
         """
-        length = min(size, last - first)
         _, shingles, counts = self.items[item]
-        which = np.searchsorted(shingles, h[hits])
+        size = int(self.sizes[item])
+        length = min(size, len(h))
+        which = np.searchsorted(shingles, h)
+        place = np.flatnonzero(shingles[np.minimum(which, len(shingles) - 1)] == h)
+        which = which[place]
         order = np.argsort(which, kind="stable")
-        which, place = which[order], hits[order]
+        which, place = which[order], place[order]
         back = np.arange(len(place)) - counts[which]
-        full = (back >= 0) & (which[back] == which)
-        begins = np.maximum(np.maximum(place - length, np.where(full, place[back], -1)) + 1, first)
-        ends = np.minimum(place, last - length)
+        full, back = back >= 0, np.maximum(back, 0)
+        full &= which[back] == which
+        begins = np.maximum(np.maximum(place - length, np.where(full, place[back], -1)) + 1, 0)
+        ends = np.minimum(place, len(h) - length)
         some = begins <= ends
         if not some.any():
             return None
@@ -149,7 +195,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     """One row for every document and item it holds: doc_id, item_id, similarity, first_word, text_hash."""
     rows = as_rows(docs, id_col, text_col)
     schema = "doc_id long, item_id long, similarity double, first_word long, text_hash long"
-    out, left_out = None, 0
+    out = None
     for block in item_blocks(benchmark):
         index = ItemIndex([r[0] for r in block], [r[1] for r in block])
 
@@ -163,14 +209,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
         found = rows.withColumn("mark", F.xxhash64("text")).mapInArrow(run, schema)
         out = found if out is None else out.unionByName(found)
-        left_out += index.left_out
-    if left_out:
-        warnings.warn(f"{left_out} benchmark items of fewer than five blank-separated words were left out: copies of them are not found", stacklevel=2)
     return docs.sparkSession.createDataFrame([], schema) if out is None else out
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs without the documents that hold a benchmark item."""
-    gone = contaminated(docs, benchmark, id_col, text_col).select(F.col("doc_id").alias("_gone"), F.col("text_hash").alias("_mark")).distinct()
-    same = F.col(f"`{id_col}`").cast("long").eqNullSafe(F.col("_gone")) & (F.xxhash64(f"`{text_col}`") == F.col("_mark"))
-    return docs.join(gone, same, "left_anti")
+    gone = contaminated(docs, benchmark, id_col, text_col).select("doc_id", "text_hash").distinct()
+    return without(docs, gone, doc_id=F.col(f"`{id_col}`").cast("long"), text_hash=F.xxhash64(f"`{text_col}`"))

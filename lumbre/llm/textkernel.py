@@ -113,7 +113,7 @@ def shingles(words: np.ndarray, first: np.ndarray, size: int = 5) -> tuple[np.nd
     if not n:
         return np.zeros(0, np.uint64), bounds
     total = np.zeros(n, np.uint64)
-    for k in range(size):
+    for k in range(min(size, n)):
         total[: n - k] += words[k:] * PLACES[k]
     total += U(size * int(PLACES[7]) % 2**64)
     begin = np.repeat(first[:-1] - bounds[:-1], runs) + np.arange(bounds[-1])
