@@ -4,18 +4,19 @@ A byte goes if a string of SIZE bytes that covers it also starts anywhere else,
 
 1.  Anchors. Of every SIZE - GRAM + 1 grams of GRAM bytes in a row, the one with the least hash is an anchor (the rightmost of equal ones). A string of SIZE bytes holds
     an anchor wherever it occurs, at the same place in it. An anchor's context is all the bytes that strings around it can reach.
-2.  Anchors whose gram occurs once are dropped: their strings are unique. Contexts that occur twice or more as a whole are repeated as a whole. What is left are contexts at the
-    edges of repeats: unique as a whole, around a gram that is not.
-3.  These, and one representative of each repeated context around the same gram, go to owner tasks by gram. Contexts of one document that overlap are joined, so every place
-    of the corpus is there once. Over their concatenation the transform is built (suffixes sorted by their first 512 bytes) and intervals are
+2.  Anchors whose gram occurs once are dropped: their strings are unique. Copies of a context are counted before anything is shuffled by gram (by the 128 bits of gram and
+    context hash): each is repeated as a whole, and one of them stands for all in the next step.
+3.  The different contexts of a gram go to an owner task. Contexts of one document that overlap are joined, so every place of the corpus is there
+    once. Over their concatenation the transform is built (suffixes sorted by their first 512 bytes) and intervals are
     extended backwards breadth-first: each round sets the boundaries whose common prefix is one byte longer and goes on with the intervals that set one. After SIZE rounds the boundaries
     that are still unset are those between suffixes with a common prefix of SIZE bytes or more; their places start repeated strings.
-
-Grams with more than GROUP unique contexts are not sent to one task: all strings of their contexts are counted by hash instead (128 bits), which
-the same rows can share among any number of tasks.
+4.  A gram with more than GROUP contexts is no group of one task: its strings are dealt out by the place that the gram has in them. The strings with places in one half all hold more
+    bytes before the gram, those with places in the other half more bytes behind it, and with these bytes the key is longer and the groups are smaller. Halving goes on
+    while a group is larger than GROUP; at a single place the key is the whole string, and what shares it is repeated.
 
 Nulls: a null text is empty; rows with a null id are documents like others. Repeated rows are documents of their own, so each of two repeats the other. Texts
-under SIZE bytes have nothing to remove of. Very long texts are read in overlapping pieces. Empty table: no rows.
+under SIZE bytes have nothing to remove of. Very long texts are read in overlapping pieces. Ties: every copy of a string goes, none is first. Clashing names: only the id and the text are
+read. Empty table: no rows.
 """
 
 from __future__ import annotations
@@ -28,18 +29,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import column, partitions, skew_join, stage
+from .shared import as_rows, column, discard, partitions, skew_join, stage
 from .textkernel import EXACT, U, chunks, mix, powers, text_bytes
 
 SIZE = 400
 GRAM = 200
 WINDOW = SIZE - GRAM + 1
-#: Unique contexts of a gram up to which one task compares them (about 600 bytes each).
-GROUP = 20_000
+#: Contexts that share a key up to which one task compares them (at most 600 bytes each). A transform takes about 110 bytes of memory for each byte.
+GROUP = 2000
 #: Bytes of contexts that a transform is built over: whole groups are added until there are as many.
-TRANSFORM = 3 << 20
+TRANSFORM = 1 << 20
 #: Bytes of a text that are searched for anchors at once.
-PIECE = 4 << 20
+PIECE = 1 << 20
 #: A byte that no UTF-8 text has.
 BETWEEN = 0xFF
 
@@ -105,7 +106,7 @@ def find_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """rid, at, before, after, gram, context."""
     for batch in batches:
         for chunk in chunks(batch):
-            rid = np.asarray(column(chunk, "rid"))
+            rid = column(chunk, "rid")
             data, offsets = text_bytes(column(chunk, "text"))
             for first, low, part, bounds, own, to in pieces(data, offsets):
                 text, at, before, after, gram, whole = anchors(part, bounds)
@@ -114,7 +115,7 @@ def find_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 text, at, before, after, gram, whole = (x[ok] for x in (text, at, before, after, gram, whole))
                 if len(at):
                     place = at - bounds[text] + low
-                    yield pa.RecordBatch.from_arrays([pa.array(rid[first + text]), pa.array(place), pa.array(before), pa.array(after), pa.array(gram), pa.array(whole)], ["rid", "at", "before", "after", "gram", "context"])
+                    yield pa.RecordBatch.from_arrays([rid.take(pa.array(first + text)), pa.array(place), pa.array(before), pa.array(after), pa.array(gram), pa.array(whole)], ["rid", "at", "before", "after", "gram", "context"])
 
 
 def order_by_512(t: np.ndarray) -> np.ndarray:
@@ -179,7 +180,7 @@ def cover(places: np.ndarray, size: int = SIZE) -> list[tuple[int, int]]:
     return list(zip(places[np.concatenate([[0], cuts + 1])].tolist(), (places[np.concatenate([cuts, [len(places) - 1]])] + size).tolist(), strict=True))
 
 
-def search(contexts: list[tuple[int, int, bytes]]) -> list[tuple[int, int, int]]:
+def search(contexts: list[tuple[bytes, int, bytes]]) -> list[tuple[bytes, int, int]]:
     """(rid, start, end) of what is repeated among contexts (rid, start, bytes)."""
     segments: list[list] = []
     for rid, start, body in sorted(contexts, key=lambda c: c[:2]):
@@ -210,78 +211,110 @@ def search(contexts: list[tuple[int, int, bytes]]) -> list[tuple[int, int, int]]
 
 
 def compare_contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Spans (rid, start, end) from contexts sorted by gram; whole groups are taken together until there are TRANSFORM bytes."""
+    """Spans (rid, start, end) from contexts sorted by key; whole groups are taken together until there are TRANSFORM bytes."""
     held: list[tuple] = []
     size, now = 0, None
 
     def out() -> Iterator[pa.RecordBatch]:
         spans = search(held)
         if spans:
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*spans, strict=True)], ["rid", "start", "end"])
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*spans, strict=True), (pa.binary(), pa.int64(), pa.int64()), strict=True)], ["rid", "start", "end"])
 
     for batch in batches:
-        for gram, rid, start, body in zip(*(column(batch, c).to_pylist() for c in ("gram", "rid", "start", "body")), strict=True):
-            if gram != now and size >= TRANSFORM:
-                yield from out()
-                held.clear()
-                size = 0
-            now = gram
-            held.append((rid, start, body))
-            size += len(body)
+        for at in range(0, batch.num_rows, 1000):
+            for key, rid, start, body in zip(*(column(batch.slice(at, 1000), c).to_pylist() for c in ("key", "rid", "start", "body")), strict=True):
+                if key != now and size >= TRANSFORM:
+                    yield from out()
+                    held.clear()
+                    size = 0
+                now = key
+                held.append((rid, start, body))
+                size += len(body)
     if held:
         yield from out()
 
 
+#: A row of the search: the key that it is compared under, the places that the gram may have in its strings, the document, where the body starts in it, where the gram is in the body, the body.
+BODY = "key long, low int, high int, rid binary, start long, gram_at int, body binary"
+BODY_TYPES = [pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.int64(), pa.int32(), pa.binary()]
+
+
+def body_batches(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
+    for i in range(0, len(rows), 1000):
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows[i : i + 1000], strict=True), BODY_TYPES, strict=True)], [x.split(" ")[0] for x in BODY.split(", ")])
+
+
 def cut_contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The bytes of the wanted contexts of each text: gram, rid, start, body, crowded."""
+    """The bytes of the wanted contexts of each text, under their gram."""
     for batch in batches:
         for text, wanted, rid in zip(*(column(batch, c) for c in ("text", "wanted", "rid")), strict=True):
-            data = (text.as_py() or "").encode("utf-8", "surrogatepass")
+            data, rid = (text.as_py() or "").encode("utf-8", "surrogatepass"), rid.as_py()
             rows = wanted.as_py()
-            for i in range(0, len(rows), 5000):
-                part = rows[i : i + 5000]
-                yield pa.RecordBatch.from_arrays([pa.array([w["gram"] for w in part], pa.int64()), pa.array([rid.as_py()] * len(part), pa.int64()), pa.array([w["at"] - w["before"] for w in part], pa.int64()), pa.array([data[w["at"] - w["before"] : w["at"] + w["after"]] for w in part], pa.binary()), pa.array([w["crowded"] for w in part], pa.bool_())], ["gram", "rid", "start", "body", "crowded"])
+            for i in range(0, len(rows), 1000):
+                yield from body_batches([(w["gram"], 0, SIZE - GRAM, rid, w["at"] - w["before"], w["before"], data[w["at"] - w["before"] : w["at"] + w["after"]]) for w in rows[i : i + 1000]])
 
 
-def all_strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """rid, place and 128-bit hash of each string of SIZE bytes in the contexts."""
+def halve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each body for either half of the gram's places: cut to the strings of that half, under a key of the bytes that all of these share."""
     import xxhash
 
     for batch in batches:
-        for rid, start, body in zip(*(column(batch, c).to_pylist() for c in ("rid", "start", "body")), strict=True):
-            n = len(body) - SIZE + 1
-            marks = [xxhash.xxh3_128_digest(body[i : i + SIZE]) for i in range(n)]
-            yield pa.RecordBatch.from_arrays([pa.array([rid] * n, pa.int64()), pa.array(range(start, start + n), pa.int64()), pa.array(marks, pa.binary())], ["rid", "start", "mark"])
+        for i in range(0, batch.num_rows, 500):
+            out = []
+            for key, low, high, rid, start, gram_at, body in zip(*(c.to_pylist() for c in batch.slice(i, 500).columns), strict=True):
+                middle = (low + high) // 2
+                for a, b in ((low, middle), (middle + 1, high)):
+                    first, last = max(a, SIZE - (len(body) - gram_at)), min(b, gram_at)  # of the body's own strings
+                    if first <= last:
+                        longer = xxhash.xxh3_64_intdigest(body[gram_at - a : gram_at - b + SIZE], seed=(key + (a << 32) + b) % (1 << 64))
+                        out.append((longer - (1 << 63), a, b, rid, start + gram_at - last, last, body[gram_at - last : gram_at - first + SIZE]))
+            yield from body_batches(out)
+
+
+def spans_of_bodies(bodies: DataFrame) -> DataFrame:
+    """(rid, start, end) of the strings that bodies under one key share. bodies: those columns, and n, the number of bodies of the key."""
+    n_tasks, spans = partitions(bodies.sparkSession), None
+    names = [x.split(" ")[0] for x in BODY.split(", ")]
+    while True:
+        owned = bodies.where(F.col("n") <= GROUP).select("key", "rid", "start", "body").repartition(n_tasks, "key").sortWithinPartitions("key", "rid", "start")
+        found = owned.mapInArrow(compare_contexts, "rid binary, start long, end long")
+        spans = found if spans is None else spans.unionByName(found)
+        crowded = bodies.where(F.col("n") > GROUP)
+        if crowded.isEmpty():
+            return spans
+        at = F.col("start") + F.col("gram_at") - F.col("low")
+        spans = spans.unionByName(crowded.where("low = high").select("rid", at.alias("start"), (at + SIZE).alias("end")))
+        halves = stage(crowded.where("low < high").select(*names).mapInArrow(halve, BODY), "bwt-halves")
+        sizes = stage(halves.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "bwt-sizes")
+        bodies = stage(skew_join(halves, sizes, ["key"], "n", F.xxhash64("rid", "start"), "inner"), "bwt-bodies")
+        discard(halves, sizes)
 
 
 def repeated_spans(rows: DataFrame) -> DataFrame:
-    """(rid, start, end) of repeated bytes; spans may overlap. rows: rid, text (one row a different (id, text), with copies)."""
-    n_tasks = partitions(rows.sparkSession)
-    found = rows.select("rid", "text").where(F.octet_length("text") >= SIZE).mapInArrow(find_anchors, "rid long, at long, before long, after long, gram long, context long")
+    """(rid, start, end) of repeated bytes; spans may overlap. rows: rid, text (a rid stands for one (id, text), with copies)."""
+    found = rows.select("rid", "text").where(F.octet_length("text") >= SIZE).mapInArrow(find_anchors, "rid binary, at long, before long, after long, gram long, context long")
     found = stage(found, "bwt-anchors")
     grams = stage(found.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1"), "bwt-grams")
     shared = stage(skew_join(found, grams, ["gram"], "n", F.xxhash64("rid", "at"), "inner").drop("n"), "bwt-shared")
+    discard(found, grams)
     first = F.min(F.struct("rid", "at", "before", "after")).alias("first")
     contexts = stage(shared.groupBy("gram", "context").agg(first, F.count("*").alias("n")), "bwt-contexts")
     whole = contexts.where("n > 1").select("gram", "context", "n")
     inner = skew_join(shared, whole, ["gram", "context"], "n", F.xxhash64("rid", "at"), "inner").select("rid", (F.col("at") - F.col("before")).alias("start"), (F.col("at") + F.col("after")).alias("end"))
-    # Grams with unique contexts: those, and one of each repeated context.
-    edges = contexts.groupBy("gram").agg(F.count_if(F.col("n") == 1).alias("single"), F.count("*").alias("n_contexts")).where("single > 0")
-    edges = stage(edges, "bwt-edges")
-    wanted = skew_join(contexts.select("gram", "first"), edges, ["gram"], "n_contexts", F.xxhash64("first"), "inner").select("gram", "first.*", (F.col("n_contexts") > GROUP).alias("crowded"))
-    by_text = wanted.groupBy("rid").agg(F.collect_list(F.struct("gram", "at", "before", "after", "crowded")).alias("wanted"))
-    bodies = stage(rows.join(by_text, "rid").mapInArrow(cut_contexts, "gram long, rid long, start long, body binary, crowded boolean"), "bwt-bodies")
-    owned = bodies.where("NOT crowded").repartition(n_tasks, "gram").sortWithinPartitions("gram", "rid", "start")
-    outer = owned.mapInArrow(compare_contexts, "rid long, start long, end long")
-    spans = inner.unionByName(outer)
-    if not bodies.where("crowded").isEmpty():
-        strings = stage(bodies.where("crowded").mapInArrow(all_strings, "rid long, start long, mark binary").distinct(), "bwt-strings")
-        again = stage(strings.groupBy("mark").agg(F.count("*").alias("n")).where("n > 1"), "bwt-again")
-        spans = spans.unionByName(skew_join(strings, again, ["mark"], "n", F.xxhash64("rid", "start"), "inner").select("rid", "start", (F.col("start") + SIZE).alias("end")))
+    # A gram with one context, or with repeated ones only, is settled by then; of all others one of each context is compared.
+    sizes = stage(contexts.groupBy("gram").agg(F.count("*").alias("n_contexts"), F.min("n").alias("least")).where("n_contexts > 1 AND least = 1").drop("least"), "bwt-edges")
+    wanted = skew_join(contexts.select("gram", "first"), sizes, ["gram"], "n_contexts", F.xxhash64("first"), "inner").select("gram", "first.*")
+    by_text = wanted.groupBy("rid").agg(F.collect_list(F.struct("gram", "at", "before", "after")).alias("wanted"))
+    bodies = stage(rows.join(by_text, "rid").mapInArrow(cut_contexts, BODY), "bwt-bodies")
+    n = sizes.select(F.col("gram").alias("key"), F.col("n_contexts").alias("n"))
+    spans = stage(inner.unionByName(spans_of_bodies(skew_join(bodies, n, ["key"], "n", F.xxhash64("rid", "start"), "inner"))), "bwt-spans")
+    discard(shared, contexts, sizes, bodies)
     return spans
 
 
 def strip(batches: Iterator[pa.RecordBatch], keep_text: bool) -> Iterator[pa.RecordBatch]:
+    names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "n_kept", "n_chars_kept", "changed", "kept_bytes"][: 8 + keep_text]
+    types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.bool_(), pa.binary()][: 8 + keep_text]
     for batch in batches:
         cols = []
         for doc_id, text, spans in zip(*(column(batch, c) for c in ("doc_id", "text", "spans")), strict=True):
@@ -298,16 +331,16 @@ def strip(batches: Iterator[pa.RecordBatch], keep_text: bool) -> Iterator[pa.Rec
                 at = last = b
             kept.append(data[at:])
             left = b"".join(kept)
-            cols.append((doc_id.as_py(), len(data), gone, runs, hashlib.sha256(left).hexdigest(), left if keep_text else None))
-        types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary()]
+            cols.append((doc_id.as_py(), len(data), gone, runs, hashlib.sha256(left).hexdigest(), len(left), len(left.decode("utf-8", "ignore")), gone > 0, left)[: 8 + keep_text])
         if cols:
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*cols, strict=True), types, strict=True)][: 5 + keep_text], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_bytes"][: 5 + keep_text])
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*cols, strict=True), types, strict=True)], names)
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep_text: bool = False) -> DataFrame:
-    """One row a document: doc_id, n_bytes, n_removed, n_spans, kept_sha256 (and kept_bytes: a cut may leave half a letter)."""
-    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.coalesce(f"`{text_col}`", F.lit("")).alias("text")).withColumn("rid", F.xxhash64("doc_id", "text"))
+    """One row a document: doc_id, n_bytes, n_removed, n_spans, kept_sha256, n_kept (bytes left), n_chars_kept (whole letters left), changed (and kept_bytes: a cut may leave half a letter)."""
+    name = F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.lit(":"), F.col("text"))
+    rows = as_rows(docs, id_col, text_col).select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("rid", F.unhex(F.md5(name)))
     spans = repeated_spans(rows)
     by_text = spans.groupBy("rid").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
-    schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept_bytes binary" * keep_text
+    schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, n_kept long, n_chars_kept long, changed boolean" + ", kept_bytes binary" * keep_text
     return rows.join(by_text, "rid", "left").mapInArrow(lambda b: strip(b, keep_text), schema)
