@@ -11,8 +11,8 @@ A byte goes if a string of SIZE bytes that covers it also starts anywhere else,
     extended backwards breadth-first: each round sets the boundaries whose common prefix is one byte longer and goes on with the intervals that set one. After SIZE rounds the boundaries
     that are still unset are those between suffixes with a common prefix of SIZE bytes or more; their places start repeated strings.
 4.  A gram with more than GROUP contexts is no group of one task: its strings are dealt out by the place that the gram has in them. The strings with places in one half all hold more
-    bytes before the gram, those with places in the other half more bytes behind it, and with these bytes the key is longer and the groups are smaller. Halving goes on
-    while a group is larger than GROUP; at a single place the key is the whole string, and what shares it is repeated.
+    bytes before the gram, those with places in the other half more bytes behind it, and with these bytes the key is longer and the groups are smaller. As in
+    step 2, copies of a half's bytes are counted first and one stands for all. Halving goes on while a group is larger than GROUP; at a single place a key has one body.
 
 Nulls: a null text is empty; rows with a null id are documents like others. Repeated rows are documents of their own, so each of two repeats the other. Texts
 under SIZE bytes have nothing to remove of. Very long texts are read in overlapping pieces. Ties: every copy of a string goes, none is first. Clashing names: only the id and the text are
@@ -35,8 +35,8 @@ from .textkernel import EXACT, U, chunks, mix, powers, text_bytes
 SIZE = 400
 GRAM = 200
 WINDOW = SIZE - GRAM + 1
-#: Contexts that share a key up to which one task compares them (at most 600 bytes each). A transform takes about 110 bytes of memory for each byte.
-GROUP = 2000
+#: Contexts that share a key up to which one task compares them (at most 600 bytes each). A transform takes about 60 bytes of memory for each byte.
+GROUP = 4000
 #: Bytes of contexts that a transform is built over: whole groups are added until there are as many.
 TRANSFORM = 1 << 20
 #: Bytes of a text that are searched for anchors at once.
@@ -123,17 +123,20 @@ def order_by_512(t: np.ndarray) -> np.ndarray:
     n = len(t)
     key = np.zeros(n, np.uint64)
     for k in range(8):
-        key = key << U(8) | np.roll(t, -k).astype(np.uint64)
+        key <<= U(8)
+        key |= np.roll(t, -k)
     length = 8
     while True:
-        order = np.argsort(key)
-        sorted_key = key[order]
-        rank = np.empty(n, np.uint64)
-        new = np.concatenate([[False], sorted_key[1:] != sorted_key[:-1]])
-        rank[order] = np.cumsum(new).astype(np.uint64)
+        order = np.argsort(key).astype(np.int32)
+        key = key[order]
+        new = np.zeros(n, bool)
+        np.not_equal(key[1:], key[:-1], out=new[1:])
         if length >= 512 or int(new.sum()) == n - 1:
             return order
-        key = rank << U(32) | np.roll(rank, -length)
+        rank = np.empty(n, np.uint32)
+        rank[order] = np.cumsum(new, dtype=np.uint32)
+        key = rank.astype(np.uint64) << U(32)
+        key |= np.roll(rank, -length)
         length *= 2
 
 
@@ -142,9 +145,8 @@ def repeated(t: np.ndarray, size: int = SIZE) -> np.ndarray:
     n = len(t)
     order = order_by_512(t)
     last = t[order - 1]  # the transform: the byte before each suffix
-    back = np.argsort(last, kind="stable")
-    lf = np.empty(n, np.int64)
-    lf[back] = np.arange(n)
+    lf = np.empty(n, np.int32)
+    lf[np.argsort(last, kind="stable")] = np.arange(n, dtype=np.int32)
     first = np.sort(last)
     unset = np.ones(n + 1, bool)
     unset[[0, n]] = False
@@ -156,9 +158,8 @@ def repeated(t: np.ndarray, size: int = SIZE) -> np.ndarray:
         total = int(sizes.sum())
         if not total:
             break
-        interval = np.repeat(np.arange(len(lows)), sizes)
-        to = lf[np.repeat(lows - np.concatenate([[0], np.cumsum(sizes)[:-1]]), sizes) + np.arange(total)]
-        owner[to] = interval + stamp
+        to = lf[np.repeat((lows - np.concatenate([[0], np.cumsum(sizes)[:-1]])).astype(np.int32), sizes) + np.arange(total, dtype=np.int32)]
+        owner[to] = np.repeat(np.arange(stamp, stamp + len(lows)), sizes)
         stamp += len(lows)
         # An extended interval ends where its neighbour comes from another interval or has another byte.
         here, byte = owner[to], first[to]
@@ -236,12 +237,14 @@ def compare_contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
 
 #: A row of the search: the key that it is compared under, the places that the gram may have in its strings, the document, where the body starts in it, where the gram is in the body, the body.
 BODY = "key long, low int, high int, rid binary, start long, gram_at int, body binary"
-BODY_TYPES = [pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.int64(), pa.int32(), pa.binary()]
+BODY_TYPES = [pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.int64(), pa.int32(), pa.binary(), pa.int64()]
+HALF = BODY + ", whole long"
 
 
-def body_batches(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
+def body_batches(rows: list[tuple], schema: str = BODY) -> Iterator[pa.RecordBatch]:
+    names = [x.split(" ")[0] for x in schema.split(", ")]
     for i in range(0, len(rows), 1000):
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows[i : i + 1000], strict=True), BODY_TYPES, strict=True)], [x.split(" ")[0] for x in BODY.split(", ")])
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows[i : i + 1000], strict=True), BODY_TYPES[: len(names)], strict=True)], names)
 
 
 def cut_contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -255,7 +258,7 @@ def cut_contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def halve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each body for either half of the gram's places: cut to the strings of that half, under a key of the bytes that all of these share."""
+    """Each body for either half of the gram's places: cut to the strings of that half, under a key of the bytes that all of these share; whole is a hash of what is left."""
     import xxhash
 
     for batch in batches:
@@ -267,8 +270,9 @@ def halve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     first, last = max(a, SIZE - (len(body) - gram_at)), min(b, gram_at)  # of the body's own strings
                     if first <= last:
                         longer = xxhash.xxh3_64_intdigest(body[gram_at - a : gram_at - b + SIZE], seed=(key + (a << 32) + b) % (1 << 64))
-                        out.append((longer - (1 << 63), a, b, rid, start + gram_at - last, last, body[gram_at - last : gram_at - first + SIZE]))
-            yield from body_batches(out)
+                        own = body[gram_at - last : gram_at - first + SIZE]
+                        out.append((longer - (1 << 63), a, b, rid, start + gram_at - last, last, own, xxhash.xxh3_64_intdigest(own) - (1 << 63)))
+            yield from body_batches(out, HALF)
 
 
 def spans_of_bodies(bodies: DataFrame) -> DataFrame:
@@ -282,12 +286,15 @@ def spans_of_bodies(bodies: DataFrame) -> DataFrame:
         crowded = bodies.where(F.col("n") > GROUP)
         if crowded.isEmpty():
             return spans
-        at = F.col("start") + F.col("gram_at") - F.col("low")
-        spans = spans.unionByName(crowded.where("low = high").select("rid", at.alias("start"), (at + SIZE).alias("end")))
-        halves = stage(crowded.where("low < high").select(*names).mapInArrow(halve, BODY), "bwt-halves")
-        sizes = stage(halves.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "bwt-sizes")
-        bodies = stage(skew_join(halves, sizes, ["key"], "n", F.xxhash64("rid", "start"), "inner"), "bwt-bodies")
-        discard(halves, sizes)
+        halves = stage(crowded.select(*names).mapInArrow(halve, HALF), "bwt-halves")
+        kinds = stage(halves.groupBy("key", "whole").agg(F.min(F.struct(*names[1:])).alias("first"), F.count("*").alias("copies")), "bwt-kinds")
+        copied = kinds.where("copies > 1").select("key", "whole", "copies")
+        end = F.col("start") + F.octet_length("body")
+        again = skew_join(halves.select("key", "whole", "rid", "start", end.alias("end")), copied, ["key", "whole"], "copies", F.xxhash64("rid", "start"), "inner").select("rid", "start", "end")
+        spans = spans.unionByName(stage(again, "bwt-spans"))
+        sizes = stage(kinds.groupBy("key").agg(F.count("*").alias("n"), F.min("copies").alias("least")).where("n > 1 AND least = 1").drop("least"), "bwt-sizes")
+        bodies = stage(skew_join(kinds.select("key", "first.*"), sizes, ["key"], "n", F.xxhash64("rid", "start"), "inner"), "bwt-bodies")
+        discard(halves, kinds, sizes)
 
 
 def repeated_spans(rows: DataFrame) -> DataFrame:
