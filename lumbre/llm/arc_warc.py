@@ -6,6 +6,7 @@ are told apart by spaces, the last is always the declared length, and that many
 every record a WARC identifier (a name-based UUID of archive name and offset), an ISO timestamp, a type (the version block becomes
 warcinfo, http records response or revisit, others resource) and block and payload digests.
 
+Very long payloads: an archive is closed once it has ARCHIVE bytes, so it holds one such record. Clashing names: only page_id, url and html are read.
 Nulls: a null payload is empty; a null URL becomes `urn:page:<id>`; a null id is left out of the record and read back as null. Empty table: no
 archives. Repeated rows: each is a record; of equal payloads from `least` bytes on, the one with the largest id is the response (all rows
 with that id), the others revisit it.
@@ -24,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import column, skew_join, stage
+from .shared import column, skew_join, small_batches, stage
 
 FIELDS = {1: "URL IP-address Archive-date Content-type Archive-length", 2: "URL IP-address Archive-date Content-type Result-code Checksum Location Offset Filename Archive-length"}
 #: Bytes after which an archive is closed.
@@ -149,7 +150,7 @@ def with_refers(pages: DataFrame, least: int) -> DataFrame:
     rows = rows.withColumn("digest", F.sha1("payload"))
     long = rows.where(F.octet_length("payload") >= least)
     groups = stage(long.groupBy("digest").agg(F.max("page_id").alias("last"), F.count("*").alias("n")).where("n > 1"), "arc-repeats")
-    joined = skew_join(rows, groups, ["digest"], "n", F.xxhash64("page_id", F.rand(3)))
+    joined = skew_join(rows, groups, ["digest"], "n", F.xxhash64("page_id", "url"))
     return joined.select("page_id", "url", "payload", F.when(~F.col("page_id").eqNullSafe(F.col("last")), F.col("last")).alias("refers_to"))
 
 
@@ -186,6 +187,7 @@ def pages_to_arc(pages: DataFrame, least: int = 1000) -> DataFrame:
         if out:
             yield close()
 
+    small_batches(pages.sparkSession)
     return with_refers(pages, least).mapInArrow(run, SCHEMA_ARC)
 
 

@@ -5,7 +5,8 @@ prefix holds the whole encoding: the rest is that of the prefix without it. Word
 depth-first walk gives each node the last token of its prefix, from those of the nodes above; words that share a
 prefix share that work. A candidate token fits behind the token before it if no merge across the two would have come first.
 
-Nulls: a null text is empty and gives no token. Empty table: no rows. Repeated rows: each row has its own result.
+Nulls: a null text is empty and gives no token. Empty table: no rows. Repeated rows: each row has its own result. Very long texts: encoded whole. Ties: none, each text has
+one encoding. Clashing names: only the id and the text are read.
 Special tokens in a text are matched as the tokenizers library does by default, before anything else.
 """
 

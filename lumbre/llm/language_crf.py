@@ -3,13 +3,14 @@
 Each word has features: itself (a lexicon, by hash), its beginnings and endings of one to three bytes and its byte bigrams and trigrams. Their weights and the weights of
 transitions between neighbouring labels are learned together by gradient steps on the sequence likelihood; forward-backward gives the
 gradient and, in use, the probability of every label for each word, so that code-switched texts have their words labelled one by one.
+Transitions between languages are learned from spliced texts: parts of learned documents of different languages, one after the other.
 A text's language is the label with the largest mean probability over its words, and that mean is the score.
 
 Forward-backward runs over segments of SEGMENT words side by side: products of the steps' matrices carry the messages across segments,
 so the result is that of the whole chain, however long a text is.
 
 Nulls: a null text, or one without a letter, is `und` with score 0; a null id is never held out nor learned from. Repeated rows: each has its result. Empty table
-or no labelled rows: all `und`. Ties: the first label in alphabetical order.
+or no labelled rows: all `und`. Ties: the first label in alphabetical order. Very long texts: labelled whole. Clashing names: only id, text and (to learn) lang are read.
 """
 
 from __future__ import annotations
@@ -30,6 +31,8 @@ TRAIN_DOCS, TRAIN_BYTES = 250, 20_000
 BUCKETS = 1 << 16
 SEGMENT = 32
 ROUNDS, RATE, RIDGE = 12, 0.35, 1e-4
+#: One in so many learned documents is also part of a spliced text, in parts of this many words.
+SPLICED, PART = 4, 12
 NOT_LETTER = np.ones(256, bool)
 NOT_LETTER[[39, *range(65, 91), *range(97, 123), *range(128, 256)]] = False
 
@@ -147,10 +150,12 @@ class LanguageCrf:
         sums = np.add.reduceat(self.weights[bucket[order]], np.searchsorted(word[order], np.arange(n)), axis=0) if n else np.zeros((0, len(self.labels)), np.float32)
         return np.exp(np.maximum(sums - sums.max(1, keepdims=True), -30)).astype(np.float64)
 
-    def fit(self, texts: list[str], gold: np.ndarray) -> None:
-        first, inverse, features, counts = self.words(pa.array(texts, pa.large_string()))
+    def fit(self, texts: list[list[tuple[str, int]]]) -> None:
+        """Learn from texts, each a list of parts with the number of their label."""
+        first, inverse, features, counts = self.words(pa.array([" ".join(t for t, _ in parts) for parts in texts], pa.large_string()))
         k, n = len(self.labels), len(counts)
-        label = np.repeat(gold, np.diff(first))
+        pieces = [word_spans(*text_bytes(pa.array([t for t, _ in parts], pa.large_string())), NOT_LETTER)[2] for parts in texts]
+        label = np.repeat([g for parts in texts for _, g in parts], np.concatenate([np.diff(x) for x in pieces]))
         chain = Chain(first)
         wanted = np.stack([np.bincount(inverse[label == c], minlength=n) for c in range(k)], 1).astype(float)
         word, bucket = features
@@ -192,6 +197,18 @@ class LanguageCrf:
         return pred, np.where(lettered, np.clip(mean.max(1), 0, 1), 0.0)
 
 
+def spliced(texts: list[str], gold: list[int]) -> list[list[tuple[str, int]]]:
+    """Parts of some texts and of their next neighbours of another language in turn."""
+    out = []
+    for i in range(0, len(texts), SPLICED):
+        j = next((k % len(texts) for k in range(i + 1, i + len(texts)) if gold[k % len(texts)] != gold[i]), None)
+        if j is not None:
+            a, b = texts[i].split(), texts[j].split()
+            parts = [(" ".join(w[at : at + PART]), g) for at in range(0, max(len(a), len(b)), PART) for w, g in ((a, gold[i]), (b, gold[j])) if at < len(w)]
+            out.append(parts[:20])
+    return out
+
+
 def held_out(doc_id: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
@@ -208,7 +225,8 @@ def fit(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> LanguageCrf:
     rows = known.where((F.octet_length("text") <= TRAIN_BYTES) & (F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(1 << 30)) < F.try_element_at(share, F.col("lang")))).limit(2 * train_docs * len(labels)).collect()
     rows.sort(key=lambda r: (r["doc_id"], r["text"]))
     if rows:
-        model.fit([r["text"] for r in rows], np.array([labels.index(r["lang"]) for r in rows]))
+        texts, gold = [r["text"] for r in rows], [labels.index(r["lang"]) for r in rows]
+        model.fit([*([pair] for pair in zip(texts, gold, strict=True)), *spliced(texts, gold)])
     return model
 
 

@@ -7,11 +7,11 @@ A block holds consecutive documents in ascending id order:
     Elias-Fano sequence of the documents' end offsets | Elias-Fano sequence of doc_id - least id
 
 An Elias-Fano sequence of n numbers below u keeps the low log2(u / n) bits packed and the rest in unary: about
-2 + log2(u / n) bits a number, and no table of 64-bit offsets. Every 64th set bit's place is sampled; select(i) starts
-from the sample. Blocks are kept as a binary column of Parquet files in the shared folder, so any store that Spark writes to will do.
+2 + log2(u / n) bits a number, and no table of 64-bit offsets. The place of every 64th set bit is stored in four bytes; select(i) starts
+from the sample and reads on from there, without unpacking the rest. Blocks are kept as a binary column of Parquet files in the shared folder, so any store that Spark writes to will do.
 
 Nulls: a null text is empty (only the end id); documents with a null id come first. Repeated ids: each row is a document of
-its own. Empty table: no blocks. A very long text is a block of its own.
+its own, in the order of its text. Empty table: no blocks. A very long text is a block of its own. Clashing names: only the id and the text are read.
 """
 
 from __future__ import annotations
@@ -33,9 +33,9 @@ from pyspark.sql import functions as F
 from .bpe_trie import simple_pattern, text_slices
 from .shared import as_rows, column, partitions, stage
 
-MAGIC, VERSION = b"LMEF", 1
+MAGIC, VERSION = b"LMEF", 2
 HEADER = struct.Struct("<4sHHQQQq")
-PART = struct.Struct("<QBQQ")  # n, low bits, bytes of low bits, bytes of high bits
+PART = struct.Struct("<QBQQ")  # n, low bits, bytes of low bits, bytes of high bits; then the samples, low bits and high bits
 SAMPLE = 64
 #: Pieces in a generation of a worker's memory; two generations are kept.
 REMEMBER = 500_000
@@ -49,33 +49,32 @@ RARE = re.compile("[\u0530-\U0010ffff\x00\x1c-\x1f]")
 class EliasFano:
     """A non-decreasing sequence of non-negative integers."""
 
-    def __init__(self, n: int, low_bits: int, low: bytes, high: bytes):
-        self.n, self.low_bits, self.low, self.high = n, low_bits, low, high
-        bits = np.unpackbits(np.frombuffer(high, np.uint8), bitorder="little")
-        self.samples = np.flatnonzero(bits)[::SAMPLE].astype(np.uint32)
+    def __init__(self, n: int, low_bits: int, samples: np.ndarray, low: bytes, high: bytes):
+        self.n, self.low_bits, self.samples, self.low, self.high = n, low_bits, samples, low, high
 
     @classmethod
     def of(cls, values: np.ndarray) -> EliasFano:
         values = np.asarray(values, np.uint64)
         n = len(values)
         if not n:
-            return cls(0, 0, b"", b"")
+            return cls(0, 0, np.zeros(0, np.uint32), b"", b"")
         low_bits = max(0, int(values[-1] + np.uint64(1)) // n).bit_length() - 1
         low_bits = max(0, low_bits)
         low = ((values[:, None] >> np.arange(low_bits, dtype=np.uint64)) & np.uint64(1)).astype(np.uint8)
         places = (values >> np.uint64(low_bits)).astype(np.int64) + np.arange(n)
         high = np.zeros(int(places[-1]) + 1, np.uint8)
         high[places] = 1
-        return cls(n, low_bits, np.packbits(low, bitorder="little").tobytes(), np.packbits(high, bitorder="little").tobytes())
+        return cls(n, low_bits, places[::SAMPLE].astype("<u4"), np.packbits(low, bitorder="little").tobytes(), np.packbits(high, bitorder="little").tobytes())
 
     def to_bytes(self) -> bytes:
-        return PART.pack(self.n, self.low_bits, len(self.low), len(self.high)) + self.low + self.high
+        return PART.pack(self.n, self.low_bits, len(self.low), len(self.high)) + self.samples.tobytes() + self.low + self.high
 
     @classmethod
     def from_bytes(cls, blob: memoryview, at: int) -> tuple[EliasFano, int]:
         n, low_bits, a, b = PART.unpack_from(blob, at)
-        at += PART.size
-        return cls(n, low_bits, bytes(blob[at : at + a]), bytes(blob[at + a : at + a + b])), at + a + b
+        samples = np.frombuffer(blob, "<u4", -(-n // SAMPLE), at + PART.size)
+        at += PART.size + samples.nbytes
+        return cls(n, low_bits, samples, bytes(blob[at : at + a]), bytes(blob[at + a : at + a + b])), at + a + b
 
     def _low(self, i: int) -> int:
         first = i * self.low_bits
@@ -207,7 +206,8 @@ def write_tokens(docs: DataFrame, path: str, end: int = 0, id_col: str = "doc_id
         if ids:
             yield close()
 
-    ordered = as_rows(docs, id_col, text_col).repartitionByRange(partitions(docs.sparkSession), F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first())
+    order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text")]
+    ordered = as_rows(docs, id_col, text_col).repartitionByRange(partitions(docs.sparkSession), *order).sortWithinPartitions(*order)
     return stage(ordered.mapInArrow(run, "part int, seq int, start long, n_tokens long, block binary"), "token-blocks")
 
 

@@ -451,6 +451,14 @@ def test_language(spark, empty):
     model = language_crf.fit(docs)
     first, probs = model.label_words(pa.array([make("aa") + " " + make("bb")]))
     assert probs[0].argmax() == 0 and probs[-1].argmax() == 1
+    assert model.steps[0, 1] > -3.9 and model.steps[1, 0] > -3.9  # changes of language are seen in learning
+    mixed = [make("aa" if k % 2 else "bb").split(" ")[:6] for k in range(40)]
+    first, probs = model.label_words(pa.array([" ".join(w for part in mixed for w in part)]))
+    assert np.mean(probs.argmax(1) == np.repeat([0 if k % 2 else 1 for k in range(40)], [len(p) for p in mixed])) > 0.95
+    long = make("aa") * 3000
+    odd = spark.createDataFrame([(1, long, "aa", 5), (1, long, "aa", 5)], "doc_id long, text string, held_out string, lang_pred long")
+    twice = language_crf.identify(odd, model).collect()
+    assert [r["lang_pred"] for r in twice] == ["aa", "aa"] and twice[0]["score"] == twice[1]["score"]
     assert language_crf.identify(empty, language_crf.fit(empty)).count() == 0
 
 
@@ -506,8 +514,46 @@ def test_quality(spark, empty):
     assert quality.filter_quality(docs, lab).columns == docs.columns
     assert quality.quality(docs.where("doc_id < 0"), lab).count() == 0
     assert quality.quality(docs, lab.limit(0)).count() == 402
-    sites = quality.site_posteriors(quality.scored(docs, quality.fit(docs, lab)), lab)
-    assert sites.where("path = 'h0/p0'").count() == 1
+    rows = quality.with_evidence(quality.scored(docs, quality.fit(docs, lab)), lab)
+    assert quality.Sites(rows).table.where("path = 'h0/p0'").count() == 1
+    again = docs.unionByName(docs.where("doc_id < 3")).unionByName(docs.where("doc_id = 1").select(F.lit(None).cast("long").alias("doc_id"), F.repeat("text", 8000).alias("text"), "source", "good"))
+    more = quality.quality(again, lab).collect()
+    assert len(more) == 406 and sum(r["doc_id"] == 2 for r in more) == 2
+
+
+def site_shifts_brute(rows):
+    """What each row's site adds to its log-odds, in plain Python. rows: (path, host, w, g)."""
+    m = min(1 - 1e-4, max(1e-4, sum(r[3] for r in rows) / sum(r[2] for r in rows)))
+
+    def spread(groups):  # (weight, good, rate above)
+        s = sum(w * (g / w - above) ** 2 for w, g, above in groups)
+        v = max(1e-6, (s - m * (1 - m) * len(groups)) / sum(w for w, _, _ in groups))
+        return min(1e4, max(10.0, m * (1 - m) / v - 1))
+
+    total = lambda keep: (sum(r[2] for r in rows if keep(r)), sum(r[3] for r in rows if keep(r)))
+    hosts, paths = {h: total(lambda r, h=h: r[1] == h) for _, h, _, _ in rows}, {p: total(lambda r, p=p: r[0] == p) for p, _, _, _ in rows}
+    host_weight = spread([(w, g, m) for w, g in hosts.values()])
+    above = {p: (hosts[h][1] - paths[p][1] + m * host_weight) / (hosts[h][0] - paths[p][0] + host_weight) for p, h, _, _ in rows}
+    path_weight = spread([(w, g, above[p]) for p, (w, g) in paths.items()])
+    logit = lambda p: np.log(p / (1 - p))
+    return [logit(min(1 - 1e-4, max(1e-4, (paths[p][1] - g + above[p] * path_weight) / (paths[p][0] - w + path_weight)))) - logit(m) for p, _, w, g in rows]
+
+
+def test_site_evidence_against_brute_force(spark):
+    rnd = random.Random(21)
+    rows = []
+    for k in range(300):
+        host = f"h{rnd.randint(0, 9)}.example"
+        path = f"{host}/{rnd.choice('abc')}" if rnd.random() < 0.8 else host
+        rows.append((k, f"https://{path}/x" if "/" in path else path, path, host, rnd.gauss(float(host[1]) - 4, 1), rnd.gauss(-1, 1)))
+    labels = {k: (int(rnd.random() < 0.5), int(rnd.random() < 0.2)) for k in range(0, 300, 3)}
+    scores = spark.createDataFrame([(k, s, 0, g, b) for k, s, _, _, g, b in rows], "doc_id long, source string, mark long, good double, bad double")
+    given = quality.with_evidence(scores, spark.createDataFrame([(k, *v) for k, v in labels.items()], "doc_id long, quality int, toxic int"))
+    got = {r["doc_id"]: r for r in quality.with_sites(given, quality.Sites(given)).collect()}
+    sig = lambda x: 1 / (1 + np.exp(-x))
+    for at, column in ((0, "good_shift"), (1, "bad_shift")):
+        own = [(p, h, 1.0 if k in labels else 0.25, float(labels[k][at]) if k in labels else 0.25 * sig((g, b)[at])) for k, _, p, h, g, b in rows]
+        assert np.allclose([got[k][column] for k in range(300)], site_shifts_brute(own))
 
 
 def test_sites_of_urls(spark):
@@ -515,14 +561,14 @@ def test_sites_of_urls(spark):
     rows = [(k, sources[k % len(sources)], 0.0, 0.0) for k in range(540)]
     labels = [(k, int("good" in s), int("bad" in s)) for k, s, *_ in rows if "example/" in s or ":8080" in s]
     scores = spark.createDataFrame(rows, "doc_id long, source string, good double, bad double")
-    sites = quality.site_posteriors(scores, spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
-    out = {r["path"]: r for r in sites.collect()}
+    given = quality.with_evidence(scores.withColumn("mark", F.lit(0)), spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    sites = quality.Sites(given)
+    out = {r["path"]: r for r in sites.table.collect()}
     assert out.keys() == {"good.example/p", "good.example/r", "bad.example:8080/p", "bad.example:8080/r", "alone.example", "src0", ""}
     assert [out[p]["n"] for p in ("good.example/p", "good.example/r", "alone.example")] == [160, 80, 20]
-    assert all(out[f"good.example/{p}"]["good_shift"] > 0.5 and out[f"bad.example:8080/{p}"]["good_shift"] < -0.5 for p in "pr")
-    assert all(out[f"good.example/{p}"]["bad_shift"] < -0.5 and out[f"bad.example:8080/{p}"]["bad_shift"] > 0.5 for p in "pr")
-    found = quality.with_sites(scores.withColumn("mark", F.lit(0)), sites).where("good_shift IS NULL")
-    assert found.count() == 0
+    found = quality.with_sites(given, sites).collect()
+    assert len(found) == 540
+    assert all((r["good_shift"] > 0.5 and r["bad_shift"] < -0.5) if "good" in r["path"] else (r["good_shift"] < -0.5 and r["bad_shift"] > 0.5) for r in found if "/" in r["path"])
 
 
 def test_pipeline(spark):
