@@ -27,7 +27,7 @@ from .textkernel import chunks
 #: Levels of the directory that are a table on the driver, of 2**DEPTH numbers whatever the input.
 DEPTH = 16
 #: Bytes of memory that the texts may take which a task keeps while it folds copies; beyond, it emits what it has and starts anew.
-FOLD_BYTES = 64 << 20
+FOLD_BYTES = 16 << 20
 
 
 def directory(counts: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:

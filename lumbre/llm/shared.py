@@ -17,7 +17,7 @@ HOT_ROWS = 1000
 #: No more keys than this are ever called hot, so the hot list stays small enough to broadcast.
 HOT_KEYS = 500
 #: Bytes of an Arrow batch.
-ARROW_BYTES = 64 << 20
+ARROW_BYTES = 2 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:

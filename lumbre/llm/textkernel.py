@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text that are worked on at once; the kernels need about 60 bytes of memory for each.
-CHUNK = 2 << 20
+CHUNK = 1 << 19
 U = np.uint64
 _rng = np.random.default_rng(20240229)
 _BASE = U(0x9E3779B97F4A7C15)
