@@ -5,19 +5,25 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .text import strip
+
 PLAIN = r"^[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?$"
 #: A number with grouped or plain whole part, decimal comma and percent sign, not inside a word. (?U): letters of any script are words.
 NUMBER = r"(?U)(?<![\w])[-+]?(?:\d{1,3}(?:\.\d{3})+(?:,\d+)?|\d+(?:,\d+)?)%?(?![\w])"
 
 
+# Fixed value: a percentage in certificate text; dots don't group its digits.
+PERCENT = r"[-+]?(?:\d+(?:,\d+)?|,\d+)\s*%"
+
+
 def to_double(col: Column) -> Column:
     """try_cast, but only of plain decimal text: Spark alone would take '12d' and 'nan'."""
-    x = F.trim(col)
+    x = strip(col)
     return F.when(x.rlike(PLAIN), x.try_cast("double"))
 
 
 def chilean(col: Column) -> Column:
-    x = F.replace(F.replace(F.trim(F.replace(col, F.lit("%"), F.lit(""))), F.lit("."), F.lit("")), F.lit(","), F.lit("."))
+    x = F.replace(F.replace(strip(F.replace(col, F.lit("%"), F.lit(""))), F.lit("."), F.lit("")), F.lit(","), F.lit("."))
     return to_double(x)
 
 
@@ -35,7 +41,7 @@ def last_number(col: Column) -> Column:
 
 def percent_value(col: Column) -> Column:
     """The first `n%` or `,n%` in percentage points."""
-    x = F.regexp_replace(F.regexp_extract(col, r"([-+]?(?:\d[\d.]*)?,?\d+)\s*%", 1), r"^([-+]?),", "$10,")
+    x = F.regexp_extract(F.replace(col, F.lit("\u00a0"), F.lit(" ")), PERCENT, 0)
     return F.when(x != "", chilean(x))
 
 
@@ -60,7 +66,7 @@ def saving_and_label(tokens: Column) -> Column:
 
 
 def clean_numeric(col: Column) -> Column:
-    x = F.trim(col)
+    x = strip(col)
     x = F.when(x.contains(",") & x.contains("."), F.replace(x, F.lit("."), F.lit(""))).otherwise(x)
     return to_double(F.regexp_replace(F.replace(x, F.lit(","), F.lit(".")), r"[^0-9eE+\-.]", ""))
 

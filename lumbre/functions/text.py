@@ -19,7 +19,11 @@ FLAT_WORDS = ["departamento", "depto", "edificio", "torre", "condominio", "duple
 TERRACED_WORDS = ["pareada", "pareado", "continua"]
 DETACHED_WORDS = ["aislada", "aislado"]
 EMPTY_WORDS = ["", "nan", "none", "s/i", "sin informacion", "sin información", "na", "n/a", "null"]
-LIGATURES = {"ﬁ": "fi", "ﬂ": "fl", "ﬀ": "ff", "ﬃ": "ffi", "ﬄ": "ffl"}
+# The file names of rated and pre-rated certificates, in lower case.
+PRE_RATED_NAME = r"(^|[_\-\s])precalificad[ao]s?([_\-\s\.]|$)"
+RATED_NAME = r"(^|[_\-\s])calificad[ao]s?([_\-\s\.]|$)"
+#: White space as Python's strip() and \s know it.
+BLANK = r"[\s\x1C-\x1F]"
 
 
 @F.pandas_udf(StringType())
@@ -39,6 +43,11 @@ def _only_where_needed(col: Column, f) -> Column:
     return F.when(odd, f(F.when(odd, col))).otherwise(col)
 
 
+def strip(col: Column) -> Column:
+    """Without white space of any kind at both ends (Spark's trim takes blanks only)."""
+    return F.regexp_replace(col, f"(?U)^{BLANK}+|{BLANK}+$", "")
+
+
 def tidy(col: Column) -> Column:
     """For extracted text: null to empty; compatibility forms and ligatures resolved; blanks collapsed; ends stripped."""
     x = _only_where_needed(F.coalesce(col, F.lit("")), _nfkc)
@@ -48,7 +57,7 @@ def tidy(col: Column) -> Column:
 
 def fold(col: Column) -> Column:
     """For matching: lower case, no diacritics, punctuation to blanks, only a-z, 0-9 and single blanks. Null stays null."""
-    x = _only_where_needed(F.lower(F.trim(col)), _without_marks)
+    x = _only_where_needed(strip(F.lower(col)), _without_marks)
     return F.trim(F.regexp_replace(F.regexp_replace(x, r"[^a-z0-9\s]", " "), r"\s+", " "))
 
 
@@ -82,7 +91,7 @@ def download_name(commune: Column, project: Column, ident: Column, kind: Column,
 def after_colon(col: Column) -> Column:
     """What follows the first colon, trimmed; the whole text if there is none."""
     at = F.instr(col, ":")
-    return F.trim(F.when(at > 0, F.substring(col, at + 1, F.length(col))).otherwise(col))
+    return strip(F.when(at > 0, F.substring(col, at + 1, F.length(col))).otherwise(col))
 
 
 def region_text(rows: Column) -> Column:
@@ -91,28 +100,28 @@ def region_text(rows: Column) -> Column:
 
 def status_from_name(col: Column) -> Column:
     """precalificada or calificada from a file name; the longer word is looked for first."""
-    x, edge, end = F.lower(col), r"(^|[_\-\s.])", r"($|[_\-\s.])"
-    return F.when(x.rlike(edge + "precalificad[ao]s?" + end), "precalificada").when(x.rlike(edge + "calificad[ao]s?" + end), "calificada")
+    x = F.lower(col)
+    return F.when(x.rlike(PRE_RATED_NAME), "precalificada").when(x.rlike(RATED_NAME), "calificada")
 
 
 def status(col: Column) -> Column:
-    x = F.lower(strip_marks(F.trim(col)))
+    x = F.lower(strip_marks(strip(col)))
     rated = x.contains("calificacion")
-    return F.when(rated & x.contains("pre"), "precalificada").when(rated, "calificada").otherwise(F.trim(col))
+    return F.when(rated & x.contains("pre"), "precalificada").when(rated, "calificada").otherwise(strip(col))
 
 
 def zone(col: Column) -> Column:
     """A trailing letter A to I in upper case, else the text. `S/I` (no information) gives I: see zone_is_doubtful."""
-    letter = F.upper(F.regexp_extract(F.trim(col), r"(?i)([A-I])\s*$", 1))
-    return F.when(letter != "", letter).otherwise(F.trim(col))
+    letter = F.upper(F.regexp_extract(strip(col), r"(?i)([A-I])\s*$", 1))
+    return F.when(letter != "", letter).otherwise(strip(col))
 
 
 def zone_is_doubtful(col: Column) -> Column:
-    return F.lower(F.trim(col)).isin(*EMPTY_WORDS)
+    return F.lower(strip(col)).isin(*EMPTY_WORDS)
 
 
 def clean_category(col: Column) -> Column:
-    x = F.regexp_replace(F.trim(F.lower(col)), r"\s+", " ")
+    x = F.regexp_replace(strip(F.lower(col)), f"(?U){BLANK}+", " ")
     return F.when(~x.isin(*EMPTY_WORDS), x)
 
 

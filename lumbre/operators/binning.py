@@ -5,20 +5,22 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from . import quantiles
+
 
 def trim_outliers(df: DataFrame, x: str | None, y: str | None, low: float = 0.01, high: float = 0.99) -> DataFrame:
     """Rows between two quantiles, ends included; those of y are taken after x has been trimmed."""
     for c in (x, y):
         if c:
-            q = df.agg(F.percentile(c, F.array(F.lit(low), F.lit(high))).alias("_q"))
+            q = quantiles.percentiles(df, [c], [low, high]).select(F.col("q").alias("_q"))
             df = df.join(F.broadcast(q)).where(F.col(c).between(F.col("_q")[0], F.col("_q")[1])).drop("_q")
     return df
 
 
 def quantile_edges(df: DataFrame, x: str, bins: int) -> list[float]:
     """At most bins + 1 different edges."""
-    q = df.agg(F.percentile(x, F.array(*[F.lit(i / bins) for i in range(bins + 1)])).alias("q")).first()["q"]
-    return sorted(set(q or []))
+    found = quantiles.percentiles(df, [x], [i / bins for i in range(bins + 1)]).first()
+    return sorted(set(found["q"])) if found else []
 
 
 def linear_edges(df: DataFrame, x: str, bins: int) -> list[float]:
@@ -56,7 +58,8 @@ def binned(df: DataFrame, x: str, y: str, bins: int, how: str = "quantile", by:
         bucket = bin_of(F.col(x), edges)
         bucket = F.when(bucket.isNotNull(), F.struct(bucket["lo"].alias("lo"), bucket["hi"].alias("hi"), ((F.round(bucket["lo"], 3) + F.round(bucket["hi"], 3)) / 2).alias("mid")))
     keys = [F.col(by)] if by else []
-    q = F.percentile(y, F.array(F.lit(0.1), F.lit(0.5), F.lit(0.9)))
-    out = df.withColumn("_b", bucket).where("_b IS NOT NULL").groupBy(*keys, F.col("_b.lo").alias("lo"), F.col("_b.hi").alias("hi"), F.col("_b.mid").alias("x_mid"))
-    out = out.agg(q.alias("q"), F.avg(y).alias("y_mean"), F.count("*").alias("n"), F.min(x).alias("x_min"), F.max(x).alias("x_max"), F.min(y).alias("y_min"), F.max(y).alias("y_max"))
+    rows = df.withColumn("_b", bucket).where("_b IS NOT NULL").select(*keys, F.col("_b.lo").alias("lo"), F.col("_b.hi").alias("hi"), F.col("_b.mid").alias("x_mid"), F.col(x).alias("x"), F.col(y).alias("y"))
+    x, y, names = "x", "y", [*([by] if by else []), "lo", "hi", "x_mid"]
+    out = rows.groupBy(*names).agg(F.avg(y).alias("y_mean"), F.count("*").alias("n"), F.min(x).alias("x_min"), F.max(x).alias("x_max"), F.min(y).alias("y_min"), F.max(y).alias("y_max"))
+    out = quantiles.beside(out, quantiles.percentiles(rows, ["y"], [0.1, 0.5, 0.9], names).drop("variable"), names)
     return out.select(*keys, "x_mid", F.col("q")[1].alias("y_median"), "y_mean", F.col("q")[0].alias("y_p10"), F.col("q")[2].alias("y_p90"), "n", "x_min", "x_max", "y_min", "y_max")

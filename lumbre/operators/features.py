@@ -9,17 +9,31 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from . import quantiles
+
 #: Features that a covariance matrix may have: it is held on the driver, features squared.
 MOST_FEATURES = 2000
+# Fixed value: the category of a missing one in distances.
+UNKNOWN = "desconocido"
 
 
 def imputation_values(df: DataFrame, numeric: list[str], categorical: list[str]) -> dict[str, object]:
     """Exact medians and most frequent values (the least of equal ones). Raises if a numeric column has no value."""
-    row = df.agg(*[F.median(c).alias(c) for c in numeric], *[F.mode(F.col(c), True).alias(c) for c in categorical]).first()
-    missing = [c for c in numeric if row[c] is None]
-    if missing:
+    values = medians(df, numeric)
+    row = df.agg(*[F.mode(F.col(c), True).alias(c) for c in categorical]).first() if categorical else {}
+    return values | {c: "missing" if row[c] is None else row[c] for c in categorical}
+
+
+def medians(df: DataFrame, cols: list[str]) -> dict[str, float]:
+    found = {r["variable"]: r["q"][0] for r in quantiles.percentiles(df, cols, [0.5]).collect()} if cols else {}
+    if missing := [c for c in cols if c not in found]:
         raise ValueError(f"no values at all in {missing}")
-    return {c: "missing" if row[c] is None else row[c] for c in (*numeric, *categorical)}
+    return {c: found[c] for c in cols}
+
+
+def imputation_for_distances(df: DataFrame, numeric: list[str], categorical: list[str]) -> dict[str, object]:
+    """Exact medians; a missing category is one of its own."""
+    return medians(df, numeric) | dict.fromkeys(categorical, UNKNOWN)
 
 
 def impute(df: DataFrame, values: dict[str, object]) -> DataFrame:

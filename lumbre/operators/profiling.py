@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import KEYWORDS, has_word
+from . import quantiles
 
 
 def group_share(df: DataFrame, col: str) -> DataFrame:
@@ -23,10 +24,11 @@ def non_null_report(df: DataFrame, cols: list[str]) -> DataFrame:
 def describe(df: DataFrame, cols: list[str], percentiles: tuple[float, ...] = (0.01, 0.05, 0.5, 0.95, 0.99)) -> DataFrame:
     """One row a column: count, mean, sample deviation, least, exact percentiles, greatest."""
     def stats(c: str):
-        ps = F.percentile(c, F.array(*[F.lit(p) for p in percentiles]))
-        return F.struct(F.lit(c).alias("variable"), F.count(c).alias("n"), F.avg(c).alias("mean"), F.stddev_samp(c).alias("std"), F.min(c).cast("double").alias("min"), *[ps[i].alias(f"p{round(100 * p):02d}") for i, p in enumerate(percentiles)], F.max(c).cast("double").alias("max"))
+        return F.struct(F.lit(c).alias("variable"), F.count(c).alias("n"), F.avg(c).alias("mean"), F.stddev_samp(c).alias("std"), F.min(c).cast("double").alias("min"), F.max(c).cast("double").alias("max"))
 
-    return df.agg(F.array(*[stats(c) for c in cols]).alias("s")).select(F.inline("s"))
+    one = df.agg(F.array(*[stats(c) for c in cols]).alias("s")).select(F.inline("s"))
+    ps = [F.col("q")[i].alias(f"p{round(100 * p):02d}") for i, p in enumerate(percentiles)]
+    return one.join(F.broadcast(quantiles.percentiles(df, cols, list(percentiles))), "variable", "left").select("variable", "n", "mean", "std", "min", *ps, "max")
 
 
 def value_counts(df: DataFrame, col: str, top: int = 30) -> DataFrame:
@@ -37,11 +39,9 @@ def value_counts(df: DataFrame, col: str, top: int = 30) -> DataFrame:
 def numeric_stats(df: DataFrame, cols: list[str], by: str | None = None) -> DataFrame:
     """Long table by variable (and group): n, mean, median, deviation, least, quartiles, greatest, coefficient of variation (null at mean 0)."""
     long = df.unpivot([by] if by else [], cols, "variable", "value").where("value IS NOT NULL")
-    q = F.percentile("value", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-    out = long.groupBy(*([by] if by else []), "variable").agg(
-        F.count("*").alias("n"), F.avg("value").alias("mean"), q.alias("q"), F.stddev_samp("value").alias("std"), F.min("value").alias("min"), F.max("value").alias("max")
-    )
     keys = ([by] if by else []) + ["variable"]
+    out = long.groupBy(*keys).agg(F.count("*").alias("n"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"), F.min("value").alias("min"), F.max("value").alias("max"))
+    out = quantiles.beside(out, quantiles.percentiles(df, cols, [0.25, 0.5, 0.75], keys[:-1]), keys)
     return out.select(*keys, "n", "mean", F.col("q")[1].alias("median"), "std", "min", F.col("q")[0].alias("p25"), F.col("q")[2].alias("p75"), "max", F.when(F.col("mean") != 0, F.col("std") / F.col("mean")).alias("cv"))
 
 

@@ -10,11 +10,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
+from . import quantiles
+
 
 def ratio_summary(df: DataFrame, a: str, b: str) -> DataFrame:
     r = F.col(a) / F.col(b)
-    q = F.percentile(r, F.array(F.lit(0.01), F.lit(0.5), F.lit(0.99)))
-    one = df.where((F.col(b) != 0) & F.col(a).isNotNull()).agg(F.count("*").alias("n"), F.avg(r).alias("mean"), F.stddev_samp(r).alias("std"), q.alias("q"))
+    rows = df.where((F.col(b) != 0) & F.col(a).isNotNull()).select(r.cast("double").alias("r"))
+    one = rows.agg(F.count("*").alias("n"), F.avg("r").alias("mean"), F.stddev_samp("r").alias("std"))
+    one = one.join(F.broadcast(quantiles.percentiles(rows, ["r"], [0.01, 0.5, 0.99])), how="left")
     return one.select("n", "mean", "std", F.col("q")[0].alias("p01"), F.col("q")[1].alias("p50"), F.col("q")[2].alias("p99"))
 
 
