@@ -76,6 +76,10 @@ def safe_name(col: Column, default: str = "sin_nombre") -> Column:
     return F.coalesce(F.nullif(x, F.lit("")), F.lit(default))
 
 
+def safe_region_id(col: Column) -> Column:
+    return safe_name(col, "region")
+
+
 def file_name(col: Column, longest: int = 180, default: str = "ficha_sin_identificacion") -> Column:
     """A lower-case file name without accents; characters that paths forbid become underscores, other odd ones go."""
     x = F.translate(F.lower(F.trim(col)), "áéíóúñü", "aeiounu")

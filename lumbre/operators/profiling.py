@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 from ..functions.text import KEYWORDS, has_word
 from . import quantiles
@@ -31,6 +34,23 @@ def describe(df: DataFrame, cols: list[str], percentiles: tuple[float, ...] = (0
     return one.join(F.broadcast(quantiles.percentiles(df, cols, list(percentiles))), "variable", "left").select("variable", "n", "mean", "std", "min", *ps, "max")
 
 
+def describe_all(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
+    """One row a column of any kind: count, unique, top, freq (strings), mean, std, min, quartiles, max (numbers)."""
+    cols = cols or df.columns
+    numeric = [f.name for f in df.schema if f.name in cols and isinstance(f.dataType, NumericType)]
+    text = [c for c in cols if c not in numeric]
+    empty = {"unique": "bigint", "top": "string", "freq": "bigint", "mean": "double", "std": "double", "min": "double", "p25": "double", "p50": "double", "p75": "double", "max": "double"}
+    parts = []
+    if numeric:
+        parts.append(describe(df, numeric, (0.25, 0.5, 0.75)).withColumnRenamed("n", "count"))
+    if text:
+        counts = df.select(*[F.col(c).cast("string").alias(c) for c in text]).unpivot([], text, "variable", "value").where("value IS NOT NULL").groupBy("variable", "value").agg(F.count("*").alias("n"))
+        first = F.min(F.struct((-F.col("n")).alias("k"), "value")).alias("first")
+        parts.append(counts.groupBy("variable").agg(F.sum("n").alias("count"), F.count("*").alias("unique"), first).select("variable", "count", "unique", F.col("first.value").alias("top"), (-F.col("first.k")).alias("freq")))
+    full = [p.select("variable", "count", *[F.col(c).cast(t).alias(c) if c in p.columns else F.lit(None).cast(t).alias(c) for c, t in empty.items()]) for p in parts]
+    return reduce(DataFrame.unionByName, full)
+
+
 def value_counts(df: DataFrame, col: str, top: int = 30) -> DataFrame:
     """The most frequent values, null among them; ties by value."""
     return df.groupBy(col).agg(F.count("*").alias("n")).orderBy(F.desc("n"), F.asc_nulls_first(col)).limit(top)

@@ -24,13 +24,19 @@ def pivot_filtered_max(df: DataFrame, key: str, name: str, value: str, wanted: l
 
 
 def best_match(left: DataFrame, right: DataFrame, on: Column, left_key: list[str], order: list[Column]) -> DataFrame:
-    """A left join that keeps the first right row of each left row in the given order. Booleans should come as desc_nulls_first(): a null outranks a match."""
-    ranked = left.join(right, on, "left").withColumn("_rank", F.row_number().over(Window.partitionBy(*left_key).orderBy(*order)))
-    return ranked.where("_rank = 1").drop("_rank")
+    """A left join that keeps the first right row of each left row in the given (ascending) order. match_order() ranks conditions: a null outranks a match.
+
+    The least row is an aggregate, which is made where the pairs are joined: pairs themselves are neither sorted nor sent on by left row. left_key must name one left row.
+    """
+    names = [*left.columns, *[c for c in right.columns if c not in left.columns]]
+    joined = left.join(right, on, "left").select(*names, *[c.alias(f"_order{i}") for i, c in enumerate(order)])
+    best = joined.groupBy(*left_key).agg(F.min(F.struct(*[f"_order{i}" for i in range(len(order))], *[c for c in names if c not in left_key])).alias("_best"))
+    return best.select(*[c if c in left_key else F.col(f"_best.{c}").alias(c) for c in names])
 
 
 def match_order(*conditions: Column) -> list[Column]:
-    return [c.desc_nulls_first() for c in conditions]
+    """Null before true before false, as whole numbers."""
+    return [F.when(c.isNull(), 0).when(c, 1).otherwise(2) for c in conditions]
 
 
 def plausible_point(lon: Column, lat: Column, lon_range: tuple[float, float], lat_range: tuple[float, float], srid: int = 4326) -> tuple[Column, Column]:
@@ -126,6 +132,11 @@ def dedup_keep_last(df: DataFrame, keys: list[str], order: str) -> DataFrame:
     return newest_first(df, keys, [F.col(order).desc()])
 
 
+def random_sample(df: DataFrame, n: int, seed: int | None = None) -> DataFrame:
+    """n rows in random order; without a seed, others each time."""
+    return df.orderBy(F.rand(seed) if seed is not None else F.rand()).limit(n)
+
+
 def seeded_sample(df: DataFrame, key: str, n: int, seed: int) -> DataFrame:
     """n rows that depend on the seed and the keys alone."""
     return df.orderBy(F.xxhash64(F.col(key), F.lit(seed)), key).limit(n)

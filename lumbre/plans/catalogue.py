@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions import dates, numbers, text
 from ..operators import binning, certificates, clustering, features, layout, profiling, relational, statistics
-from ..sources import files, html
+from ..sources import files, html, parsed
 from ..streaming import incremental
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +30,15 @@ def query(sql: str | None = None):
     return add
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """spark.checkpoint.dir; only a session of one process may go without it."""
+    if folder := spark.conf.get("spark.checkpoint.dir", None):
+        return folder.rstrip("/")
+    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return f"file://{tempfile.mkdtemp()}"
+
+
 def table(spark: SparkSession, d: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{d}/{name}.parquet")
 
@@ -226,12 +236,12 @@ def chi2_cramers_v(spark, d):
     return statistics.chi2_independence(table(spark, d, "lineitem"), "l_returnflag", "l_linestatus", tail=False).withColumns({"chi2": F.round("chi2", 4), "cramers_v": F.round("cramers_v", 8)})
 
 
-@query()
+@query(f"SELECT 'kruskal_wallis' AS test, round(exp(-h / 2), 4) AS p FROM ({SQL['kruskal_wallis']}) UNION ALL SELECT 'chi2', round(exp(-chi2 / 2), 4) FROM ({SQL['chi2_cramers_v']})")
 def exploratory_p_values(spark, d):
-    """The tests' tails; SQL has no incomplete gamma function."""
+    """The tests' tails; both have two degrees of freedom here, where the tail is exp(-x / 2)."""
     rows = table(spark, d, "lineitem")
     a = statistics.kruskal_wallis(rows, "l_extendedprice", "l_returnflag").select(F.lit("kruskal_wallis").alias("test"), "p")
-    return a.unionByName(statistics.chi2_independence(rows, "l_returnflag", "l_linestatus").select(F.lit("chi2").alias("test"), "p"))
+    return a.unionByName(statistics.chi2_independence(rows, "l_returnflag", "l_linestatus").select(F.lit("chi2").alias("test"), "p")).withColumn("p", F.round("p", 4))
 
 
 # --- text
@@ -251,6 +261,11 @@ def normalize_and_tokenize(spark, d):
     return document_words(spark, d).select("doc_id", F.size("w").cast("long").alias("n_words"), F.array_join(F.slice("w", 1, 5), " ").alias("first_words"))
 
 
+@query(f"SELECT doc_id, md5({FOLD}) AS folded FROM documents")
+def fold_text(spark, d):
+    return table(spark, d, "documents").select("doc_id", F.md5(text.fold(F.col("text"))).alias("folded"))
+
+
 @query(f"SELECT word, count(*) AS n FROM (SELECT unnest(w) AS word FROM {WORDS}) GROUP BY 1 ORDER BY n DESC, word LIMIT 50")
 def word_counts(spark, d):
     return profiling.top(profiling.word_counts(document_words(spark, d), "w"), 50, F.desc("n"), "word")
@@ -268,11 +283,11 @@ def trigram_counts(spark, d):
     return profiling.top(profiling.word_counts(rows, "w"), 50, F.desc("n"), "word")
 
 
-DWELLING = "['casa pareada', 'Casa Aislada', 'departamento', 'torrente', 'casa', 'sitio', 'condominio casa pareada', 'Edificio Torre', 'vivienda continua', '']"
+DWELLING = ['casa pareada', 'Casa Aislada', 'departamento', 'torrente', 'casa', 'sitio', 'condominio casa pareada', 'Edificio Torre', 'vivienda continua', '']
 
 
 def dwellings(spark, d):
-    kinds = F.array(*[F.lit(x) for x in eval(DWELLING)])
+    kinds = F.array(*[F.lit(x) for x in DWELLING])
     return table(spark, d, "part").select("p_partkey", F.concat(kinds[(F.col("p_partkey") % 10).cast("int")], F.lit(" "), F.lower("p_brand")).alias("shown")).withColumn("folded", text.fold_builtin(F.col("shown")))
 
 
@@ -302,13 +317,13 @@ def clean_filename(spark, d):
     return table(spark, d, "pages").select("page_id", text.file_name(F.col("url")).alias("name"))
 
 
-STATUSES = "['x_precalificadas_ver.pdf', 'x_calificada_ver.pdf', 'x.pdf', 'recalificadas.pdf', 'Calificados']"
+STATUSES = ["x_precalificadas_ver.pdf", "x_calificada_ver.pdf", "x.pdf", "recalificadas.pdf", "Calificados", "x.calificadas_z.pdf", "x precalificado.pdf"]
 
 
-@query(f"""SELECT o_orderkey, CASE WHEN regexp_matches(lower(f), '(^|[_\\-\\s.])precalificad[ao]s?($|[_\\-\\s.])') THEN 'precalificada' WHEN regexp_matches(lower(f), '(^|[_\\-\\s.])calificad[ao]s?($|[_\\-\\s.])') THEN 'calificada' END AS status FROM (SELECT o_orderkey, {STATUSES}[o_orderkey % 5 + 1] AS f FROM orders)""")
+@query(f"""SELECT o_orderkey, CASE WHEN regexp_matches(lower(f), '(^|[_\\-\\s])precalificad[ao]s?([_\\-\\s\\.]|$)') THEN 'precalificada' WHEN regexp_matches(lower(f), '(^|[_\\-\\s])calificad[ao]s?([_\\-\\s\\.]|$)') THEN 'calificada' END AS status FROM (SELECT o_orderkey, {STATUSES}[o_orderkey % 7 + 1] AS f FROM orders)""")
 def status_from_filename(spark, d):
-    names = F.array(*[F.lit(x) for x in eval(STATUSES)])
-    return table(spark, d, "orders").select("o_orderkey", text.status_from_name(names[(F.col("o_orderkey") % 5).cast("int")]).alias("status"))
+    names = F.array(*[F.lit(x) for x in STATUSES])
+    return table(spark, d, "orders").select("o_orderkey", text.status_from_name(names[(F.col("o_orderkey") % 7).cast("int")]).alias("status"))
 
 
 # --- numbers and dates
@@ -320,17 +335,17 @@ def chilean_number(spark, d):
     return table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", numbers.chilean(v).alias("chilean"), numbers.last_number(row).alias("last_number"), numbers.first_number(row).alias("first_number"))
 
 
-@query("""SELECT l_orderkey, l_linenumber, CASE WHEN l_linenumber % 3 = 0 THEN round(l_discount * 100) + 0.5 WHEN l_linenumber % 3 = 1 THEN CAST(l_quantity AS DOUBLE) END AS u FROM lineitem""")
+@query("""SELECT l_orderkey, l_linenumber, CASE l_linenumber % 5 WHEN 0 THEN round(l_discount * 100) + 0.5 WHEN 1 THEN CAST(l_quantity AS DOUBLE) WHEN 3 THEN CAST(l_quantity AS DOUBLE) WHEN 4 THEN 0.6 END AS u FROM lineitem""")
 def u_and_percent_values(spark, d):
-    k = F.col("l_linenumber") % 3
-    row = F.when(k == 0, F.format_string("% máximo = %d,5%%".replace("% m", "%% m"), F.round(F.col("l_discount") * 100).cast("int"))).when(k == 1, F.format_string("%d,0 [W/m2K]", F.col("l_quantity").cast("int"))).otherwise("sin exigencia")
+    k = F.col("l_linenumber") % 5
+    row = F.when(k == 3, F.format_string("1.%d %%", F.col("l_quantity").cast("int"))).when(k == 4, "% máximo = ,6%").when(k == 0, F.format_string("% máximo = %d,5%%".replace("% m", "%% m"), F.round(F.col("l_discount") * 100).cast("int"))).when(k == 1, F.format_string("%d,0 [W/m2K]", F.col("l_quantity").cast("int"))).otherwise("sin exigencia")
     return table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", numbers.u_value(row).alias("u"))
 
 
-@query("""SELECT l_orderkey, l_linenumber, CASE WHEN l_linenumber = 4 THEN NULL ELSE round(l_extendedprice, 2) END AS x, CASE l_returnflag WHEN 'A' THEN NULL ELSE lower(l_returnflag) || ' x' END AS c FROM lineitem""")
+@query("""SELECT l_orderkey, l_linenumber, CASE WHEN l_linenumber = 4 THEN NULL ELSE round(l_extendedprice, 2) END AS x, CASE WHEN l_returnflag = 'A' OR l_linenumber = 2 THEN NULL ELSE lower(l_returnflag) || ' x' END AS c FROM lineitem""")
 def clean_numeric_and_category(spark, d):
     x = F.when(F.col("l_linenumber") == 4, "sin dato").otherwise(F.replace(F.format_string("%.2f", "l_extendedprice"), F.lit("."), F.lit(",")))
-    c = F.when(F.col("l_returnflag") == "A", " Sin  Información ").otherwise(F.concat(F.lit(" "), F.col("l_returnflag"), F.lit("   X")))
+    c = F.when(F.col("l_returnflag") == "A", " Sin  Información ").when(F.col("l_linenumber") == 2, "\tn/a\u00a0").otherwise(F.concat(F.lit("\t\u00a0"), F.col("l_returnflag"), F.lit(" \t X\n")))
     return table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", numbers.clean_numeric(x).alias("x"), text.clean_category(c).alias("c"))
 
 
@@ -444,9 +459,10 @@ def merge_vertical_gap(spark, d):
     return layout.merge_wrapped(event_rows(spark, d), ["user_id"]).select("user_id", F.col("record").cast("long").alias("record"), F.col("n_words").cast("long").alias("n_words"), "text")
 
 
-@query()
+@query("""SELECT user_id, CAST(list_reduce(list({'line': 1, 'mean': y0, 'n': 1} ORDER BY y0, event_id), lambda a, x: CASE WHEN abs(x.mean - a.mean) <= 3.5 THEN {'line': a.line, 'mean': (a.mean * a.n + x.mean) / (a.n + 1), 'n': a.n + 1}
+ELSE {'line': a.line + 1, 'mean': x.mean, 'n': 1} END).line AS INTEGER) AS n_lines, count(*) AS n FROM (SELECT user_id, event_id, epoch(ts) / 3600 AS y0 FROM events) GROUP BY 1""")
 def y_clusters(spark, d):
-    """Rows by a running mean of their centre: a fold that SQL can't express."""
+    """Rows by a running mean of their centre: a fold."""
     return layout.bands(event_rows(spark, d).select("user_id", "text", "x0", "y0"), ["user_id"], "y0", 3.5, ["x0"]).groupBy("user_id").agg(F.max("line").alias("n_lines"), F.count("*").alias("n"))
 
 
@@ -460,9 +476,20 @@ def gap_split_words(spark, d):
 
 # --- pages
 
-@query()
+def listings(spark, d):
+    """Pages with a list of dwellings: a header, page_id % 4 rows (with a hidden cell each), a pager, and the total of their section."""
+    k = F.col("page_id").cast("string")
+    cells = [F.concat(F.lit("v"), k, F.lit("-"), F.lit(str(i))) for i in range(4)]
+    row = lambda i: F.concat(F.lit("<tr><td>"), cells[i], F.lit(f"</td><td>Casa</td><td>Talca {i}</td><td>p</td><td class='hidden'>no</td><td><input type='image' name='n{i}' title='Ver Informe'></td></tr>"))
+    rows = F.concat(*[F.when(F.col("page_id") % 4 > i, row(i)).otherwise("") for i in range(4)])
+    head = "<table id='g'><tr><td>Identificación Vivienda</td><td>b</td><td>c</td><td>d</td><td>e</td></tr>"
+    return table(spark, d, "pages").select("page_id", F.concat(F.lit(head), rows, F.lit("<tr><td>1</td><td>2</td><td>3</td><td>4</td><td>5</td></tr></table>Viviendas Calificadas Se ha(n) encontrado 1."), F.lpad((F.col("page_id") % 1000).cast("string"), 3, "0"), F.lit(" Viviendas")).alias("html"))
+
+
+@query("""SELECT page_id, 'v' || page_id || '-' || i AS ident, 'Casa' AS kind, 'Talca ' || i AS commune, 'p' AS project, 'n' || i AS action, 'Ver Informe' AS title FROM pages, range(4) r(i) WHERE page_id % 4 > i""")
 def html_rows(spark, d):
-    return html.html_rows(table(spark, d, "pages"), "page_id")
+    out = html.html_rows(listings(spark, d), "page_id", table_id="g")
+    return out.select("page_id", "ident", "kind", "commune", "project", F.col("actions")[0]["name"].alias("action"), F.col("actions")[0]["title"].alias("title"))
 
 
 @query()
@@ -470,6 +497,11 @@ def html_form(spark, d):
     return html.html_form(table(spark, d, "pages"), "page_id").select("page_id", F.size("payload").alias("n_fields"))
 
 
+@query("""SELECT page_id, CAST(1000 + page_id % 1000 AS BIGINT) AS total, CAST(ceil((1000 + page_id % 1000) / 10) AS BIGINT) AS pages FROM pages""")
+def html_section_totals(spark, d):
+    return html.html_totals(listings(spark, d), "page_id", "calificadas").withColumn("pages", F.col("pages").cast("long"))
+
+
 @query("""SELECT page_id, coalesce(CAST(replace(list_extract(regexp_extract_all(h, '(?i)Se\\s+ha\\s*\\(?n\\)?\\s+encontrado\\s+([\\d.]+)\\s+Vivienda', 1), 1), '.', '') AS BIGINT), 0) AS total FROM (SELECT page_id, 'Se ha(n) encontrado 1.' || lpad(CAST(page_id % 1000 AS VARCHAR), 3, '0') || ' Viviendas' AS h FROM pages)""")
 def html_total_pages(spark, d):
     words = F.concat(F.lit("Se ha(n) encontrado 1."), F.lpad((F.col("page_id") % 1000).cast("string"), 3, "0"), F.lit(" Viviendas"))
@@ -546,9 +578,26 @@ def top_loadings(spark, d):
     return profiling.top_per_group(features.aggregate_loadings(model.loading_table(spark), [*NUMBERS, "l_returnflag"]), "component", 15, F.desc("weight"), "variable")
 
 
-@query("""SELECT * FROM (VALUES (101, 100), (102, 100), (103, 100)) t(random_state, n)""")
+SEEDS = [101, 102, 103]
+SWEPT = f"(SELECT unnest({SEEDS}) AS random_state, c_nationkey % 4 AS label, count(*) AS n, round(avg(c_acctbal), 6) AS mean FROM customer GROUP BY 2)"
+
+
+def swept(spark, d):
+    """Samples of all rows: what is left is the sweep itself, whose rows SQL knows."""
+    summary = lambda df: df.groupBy("label").agg(F.count("*").alias("n"), F.round(F.avg("c_acctbal"), 6).alias("mean"))
+    return clustering.seed_sweep(customers(spark, d), "c_custkey", SEEDS, 1 << 30, summary)
+
+
+@query(f"SELECT random_state, label, n, mean FROM (SELECT *, row_number() OVER (PARTITION BY random_state ORDER BY n DESC, label) AS k FROM {SWEPT}) WHERE k <= 3")
 def seed_sweep(spark, d):
-    return clustering.seed_sweep(table(spark, d, "orders"), "o_orderkey", [101, 102, 103], 100, lambda df: df.agg(F.count("*").cast("int").alias("n"))).select("random_state", "n")
+    return profiling.top_per_group(swept(spark, d), "random_state", 3, F.desc("n"), "label").select("random_state", "label", "n", "mean")
+
+
+@query(" UNION ALL ".join(f"SELECT '{c}' AS variable, count({c}) AS count, round(avg({c}), 6) AS mean, round(stddev_samp({c}), 6) AS std, CAST(min({c}) AS DOUBLE) AS min, CAST(quantile_cont({c}, 0.25) AS DOUBLE) AS p25, CAST(median({c}) AS DOUBLE) AS p50, CAST(quantile_cont({c}, 0.75) AS DOUBLE) AS p75, CAST(max({c}) AS DOUBLE) AS max, CAST(NULL AS BIGINT) AS unique, CAST(NULL AS VARCHAR) AS top, CAST(NULL AS BIGINT) AS freq FROM {SWEPT}" for c in ("n", "mean"))
++ f" UNION ALL SELECT 'segment', count(*), NULL, NULL, NULL, NULL, NULL, NULL, NULL, count(DISTINCT c_mktsegment), (SELECT c_mktsegment FROM customer GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1), (SELECT max(n) FROM (SELECT count(*) AS n FROM customer GROUP BY c_mktsegment)) FROM customer")
+def sweep_describe(spark, d):
+    both = profiling.describe_all(swept(spark, d), ["n", "mean"]).unionByName(profiling.describe_all(table(spark, d, "customer").select(F.col("c_mktsegment").alias("segment"))))
+    return both.withColumns({c: F.round(c, 6) for c in ("mean", "std")})
 
 
 @query()
@@ -659,16 +708,42 @@ def serving_view(spark, d):
     return flagship(spark, d)
 
 
+# --- from characters to tables
+
+TEMPLATE = [("page_01_region_01", 1, 0.0, 0.0, 1000.0, 200.0), ("page_01_region_03", 1, 0.0, 300.0, 1000.0, 340.0), ("page_02_region_01", 2, 0.0, 0.0, 1000.0, 200.0)]
+
+
+def drawn(spark, d):
+    """A document a customer, as a parser gives it: seven pages, a character a letter, one hidden line."""
+    key, segment = F.col("c_custkey").cast("string"), F.lower("c_mktsegment")
+    lines = [(1, 10, F.lit("Certificado")), (1, 30, F.concat(F.lit("Region: "), segment)), (1, 50, F.lit("Comuna: Talca")), (1, 70, F.concat(F.lit("Direccion: calle "), key)), (1, 90, F.concat(F.lit("Rol: R"), key)), (1, 110, F.lit("Tipo: casa")), (1, 130, F.lit("Sup: 57,2")),
+             (1, 150, F.lit("oculto")), (1, 310, F.concat(F.lit("demanda 10 "), key, F.lit(",5"))), (2, 10, F.lit("Zona: D")), (2, 30, F.lit("7")), (2, 50, F.lit("Sol: s")), (2, 70, F.concat(F.lit("Ev: "), segment)), (2, 90, F.concat(F.lit("Codigo: c"), key))]
+    names = "struct<page:int,seqno:int,layer:string,opacity:double,text:string,x0:double,y0:double,x1:double,y1:double>"
+
+    def letters(page, y, t):
+        return F.transform(F.split(t, ""), lambda c, i: F.struct(F.lit(page).alias("page"), F.lit(1).alias("seqno"), F.lit("l").alias("layer"), F.lit(1.0).alias("opacity"), c.alias("text"), (6.0 * i).alias("x0"), F.lit(float(y)).alias("y0"), (6.0 * i + 6).alias("x1"), F.lit(y + 8.0).alias("y1")).cast(names))
+
+    cover = F.array(F.struct(F.lit(1).alias("page"), F.lit(2).alias("seqno"), F.lit("fill-path").alias("kind"), F.lit(0.0).alias("x0"), F.lit(148.0).alias("y0"), F.lit(900.0).alias("x1"), F.lit(160.0).alias("y1")))
+    return table(spark, d, "customer").select(F.concat(F.lit("x"), key, F.lit("_calificadas_i.pdf")).alias("doc"), F.when(F.col("c_custkey") % 10 == 0, 4).otherwise(7).alias("n_pages"), F.concat(*[letters(*line) for line in lines]).alias("chars"), cover.alias("shapes"))
+
+
+@query("""SELECT 'c' || c_custkey AS document_id, 'calificada' AS estado_cev, lower(c_mktsegment) AS region, 'Talca' AS comuna, 'calle ' || c_custkey AS direccion, 'R' || c_custkey AS rol_vivienda, CAST(57.2 AS DOUBLE) AS superficie_util, c_custkey + CAST(0.5 AS DOUBLE) AS demanda_calef,
+'D' AS zona_termica, lower(c_mktsegment) AS evaluador FROM customer WHERE c_custkey % 10 <> 0""")
+def extracted_general(spark, d):
+    regions = spark.createDataFrame(TEMPLATE, "id string, page int, x0 double, y0 double, x1 double, y1 double")
+    return parsed.extract(drawn(spark, d), regions)["descripcion_general"].select("document_id", "estado_cev", "region", "comuna", "direccion", "rol_vivienda", "superficie_util", "demanda_calef", "zona_termica", "evaluador")
+
+
 # --- names, labels and points
 
-LABELS = "['Pre-Calificación', ' Calificación ', 'otro', 'precalificacion 2', '']"
-ZONES = "['zona d', 'H ', '3', 'CL I', 'x-a']"
+LABELS = ["Pre-Calificación", " Calificación ", "otro", "precalificacion 2", ""]
+ZONES = ["zona d", "H ", "3", "CL I", "x-a"]
 
 
 @query(f"""SELECT o_orderkey, CASE WHEN contains(f, 'calificacion') AND contains(f, 'pre') THEN 'precalificada' WHEN contains(f, 'calificacion') THEN 'calificada' ELSE trim(s) END AS status, CASE WHEN regexp_matches(trim(z), '[A-Ia-i]$') THEN upper(right(trim(z), 1)) ELSE trim(z) END AS zone
 FROM (SELECT o_orderkey, s, z, lower(strip_accents(trim(s))) AS f FROM (SELECT o_orderkey, {LABELS}[o_orderkey % 5 + 1] AS s, {ZONES}[o_custkey % 5 + 1] AS z FROM orders))""")
 def status_and_zone(spark, d):
-    labels, zones = (F.array(*[F.lit(x) for x in eval(v)]) for v in (LABELS, ZONES))
+    labels, zones = (F.array(*[F.lit(x) for x in v]) for v in (LABELS, ZONES))
     rows = table(spark, d, "orders").select("o_orderkey", labels[(F.col("o_orderkey") % 5).cast("int")].alias("s"), zones[(F.col("o_custkey") % 5).cast("int")].alias("z"))
     return rows.select("o_orderkey", text.status(F.col("s")).alias("status"), text.zone(F.col("z")).alias("zone"))
 
@@ -720,7 +795,7 @@ def one_hot_columns(spark, d):
 @query("""SELECT event_id, user_id, event_type, value FROM (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id DESC) AS k FROM events) WHERE k = 1""")
 def incremental_upsert(spark, d):
     """The events as a stream of files (a pattern, since a stream takes a file only so), upserted by key in micro-batches, then the newest row of every key."""
-    base = f"{spark.conf.get('spark.checkpoint.dir', None) or 'file://' + tempfile.mkdtemp()}/incremental-{uuid.uuid4().hex}"
+    base = f"{shared_folder(spark)}/incremental-{uuid.uuid4().hex}"
     stream = incremental.new_files(spark, f"{d}/events.parque[t]", table(spark, d, "events").schema)
     incremental.upsert_stream(stream, ["user_id", "event_type"], "event_id", f"{base}/rows", f"{base}/state").awaitTermination()
     return incremental.read_latest(spark, f"{base}/rows", ["user_id", "event_type"]).select("event_id", "user_id", "event_type", "value")

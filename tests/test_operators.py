@@ -2,7 +2,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from lumbre.operators import certificates, clustering, features, layout, relational, statistics
+from lumbre.functions import numbers, text
+from lumbre.operators import certificates, clustering, features, layout, quantiles, relational, statistics
 from lumbre.sources import html, tables
 
 
@@ -102,9 +103,43 @@ def test_tails():
     assert abs(statistics.gamma_tail(5, 18.307038053275146 / 2) - 0.05) < 1e-9
 
 
-def test_identities():
-    assert abs((2375.7902171305245 - 33 + 1) / (9398 - 33) - 0.25027124582280025) < 1e-12
-    assert abs((17890.82406255657 / (9398 * 2)) ** 0.5 - 0.9756239528582474) < 1e-12
+def test_percentiles_with_nulls_ties_and_groups(spark):
+    rng = np.random.default_rng(2)
+    rows = [(None if k % 5 == 0 else f"g{k % 3}", float(rng.integers(0, 40)) if k % 7 else None, float(rng.normal())) for k in range(900)]
+    df = spark.createDataFrame([*rows, ("one", 4.0, None)], "g string, x double, y double")
+    got = {(r["g"], r["variable"]): r["q"] for r in quantiles.percentiles(df, ["x", "y"], [0.0, 0.01, 0.25, 0.5, 0.99, 1.0], ["g"]).collect()}
+    for g in (None, "g0", "g1", "g2"):
+        for i, v in ((1, "x"), (2, "y")):
+            assert np.allclose(got[g, v], np.percentile([r[i] for r in rows if r[0] == g and r[i] is not None], [0, 1, 25, 50, 99, 100]))
+    assert got["one", "x"] == [4.0] * 6 and ("one", "y") not in got
+    assert quantiles.percentiles(df.limit(0), ["x"], [0.5]).count() == 0
+
+
+def test_rules_of_the_data_model(spark):
+    one = lambda c, *v: [r[0] for r in spark.createDataFrame([(x,) for x in v], "x string").select(c(F.col("x"))).collect()]
+    assert one(text.status_from_name, "x.calificadas_z.pdf", "a_PreCalificada_b.pdf", "calificados.pdf", "recalificada.pdf") == [None, "precalificada", "calificada", None]
+    assert one(numbers.percent_value, "% máximo = 25%", "% máximo = ,6%", "1.5 %", "1.234%", "-2,5 %", "x") == [25.0, 0.6, 5.0, 234.0, -2.5, None]
+    assert one(text.clean_category, "\tn/a", "\tCasa\u00a0", " S/I\n", "a \t b", None) == [None, "casa", None, "a b", None]
+    renamed = tables.resolve_aliases(spark.createDataFrame([(1, 2)], ["superficie", "sup_util"]))
+    assert renamed.columns == ["superficie_util", "sup_util"]
+    assert one(text.safe_region_id, "a b/c", "..") == ["a_b_c", "region"]
+
+
+def test_noise_widens_the_ranges(spark):
+    rows = [(i, float(i % 10), i // 10) for i in range(20)] + [(20, 1000.0, -1)]
+    df = spark.createDataFrame(rows, "id long, x double, label int")
+    means = clustering.mean_distances(df, "id", ["x"], [], "label").collect()
+    assert {r["id"] for r in means} == set(range(20))
+    own = next(r for r in means if r["id"] == 0 and r["other"] == 0)
+    assert abs(own["mean_distance"] - np.mean([abs(k) / 1000 for k in range(1, 10)])) < 1e-12 and own["size"] == 10
+    one = features.imputation_for_distances(spark.createDataFrame([(1.0, None), (3.0, "a"), (None, "a")], "x double, c string"), ["x"], ["c"])
+    assert one == {"x": 2.0, "c": "desconocido"}
+
+
+def test_random_sample(spark):
+    df = spark.range(100)
+    first = [r[0] for r in relational.random_sample(df, 10, 3).collect()]
+    assert len(set(first)) == 10 and relational.random_sample(df, 500).count() == 100
 
 
 def test_components(spark):
