@@ -279,7 +279,9 @@ def with_sites(rows: DataFrame, sites: Sites) -> DataFrame:
 
 def quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """One row a document: doc_id, p_good, p_toxic, kept (and mark, the hash of its text)."""
-    rows = stage(with_evidence(scored(docs, fit(docs, labels)), labels), "quality-scores")
+    scores = stage(scored(docs, fit(docs, labels)), "quality-scores")  # written first: each text is scored once
+    rows = stage(with_evidence(scores, labels), "quality-evidence")
+    discard(scores)
     rows = with_sites(rows, Sites(rows)).withColumns({"good": F.col("good") + F.col("good_shift"), "bad": F.col("bad") + F.col("bad_shift")})
     return rows.select("doc_id", probability("good").alias("p_good"), probability("bad").alias("p_toxic"), "mark").withColumn("kept", (F.col("p_good") >= 0.5) & (F.col("p_toxic") < 0.5))
 
