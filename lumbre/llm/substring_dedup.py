@@ -238,7 +238,7 @@ def compare_contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
 #: A row of the search: the key that it is compared under, the places that the gram may have in its strings, the document, where the body starts in it, where the gram is in the body, the body.
 BODY = "key long, low int, high int, rid binary, start long, gram_at int, body binary"
 BODY_TYPES = [pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.int64(), pa.int32(), pa.binary(), pa.int64()]
-HALF = BODY + ", whole long"
+HALF, COUNTED = BODY + ", whole long", BODY + ", n long"
 
 
 def body_batches(rows: list[tuple], schema: str = BODY) -> Iterator[pa.RecordBatch]:
@@ -248,13 +248,13 @@ def body_batches(rows: list[tuple], schema: str = BODY) -> Iterator[pa.RecordBat
 
 
 def cut_contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The bytes of the wanted contexts of each text, under their gram."""
+    """The bytes of the wanted contexts of each text, under their gram, with the gram's number of contexts."""
     for batch in batches:
         for text, wanted, rid in zip(*(column(batch, c) for c in ("text", "wanted", "rid")), strict=True):
             data, rid = (text.as_py() or "").encode("utf-8", "surrogatepass"), rid.as_py()
             rows = wanted.as_py()
             for i in range(0, len(rows), 1000):
-                yield from body_batches([(w["gram"], 0, SIZE - GRAM, rid, w["at"] - w["before"], w["before"], data[w["at"] - w["before"] : w["at"] + w["after"]]) for w in rows[i : i + 1000]])
+                yield from body_batches([(w["gram"], 0, SIZE - GRAM, rid, w["at"] - w["before"], w["before"], data[w["at"] - w["before"] : w["at"] + w["after"]], w["n"]) for w in rows[i : i + 1000]], COUNTED)
 
 
 def halve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -310,11 +310,10 @@ def repeated_spans(rows: DataFrame) -> DataFrame:
     inner = skew_join(shared, whole, ["gram", "context"], "n", F.xxhash64("rid", "at"), "inner").select("rid", (F.col("at") - F.col("before")).alias("start"), (F.col("at") + F.col("after")).alias("end"))
     # A gram with one context, or with repeated ones only, is settled by then; of all others one of each context is compared.
     sizes = stage(contexts.groupBy("gram").agg(F.count("*").alias("n_contexts"), F.min("n").alias("least")).where("n_contexts > 1 AND least = 1").drop("least"), "bwt-edges")
-    wanted = skew_join(contexts.select("gram", "first"), sizes, ["gram"], "n_contexts", F.xxhash64("first"), "inner").select("gram", "first.*")
-    by_text = wanted.groupBy("rid").agg(F.collect_list(F.struct("gram", "at", "before", "after")).alias("wanted"))
-    bodies = stage(rows.join(by_text, "rid").mapInArrow(cut_contexts, BODY), "bwt-bodies")
-    n = sizes.select(F.col("gram").alias("key"), F.col("n_contexts").alias("n"))
-    spans = stage(inner.unionByName(spans_of_bodies(skew_join(bodies, n, ["key"], "n", F.xxhash64("rid", "start"), "inner"))), "bwt-spans")
+    wanted = skew_join(contexts.select("gram", "first"), sizes, ["gram"], "n_contexts", F.xxhash64("first"), "inner").select("gram", "first.*", F.col("n_contexts").alias("n"))
+    by_text = wanted.groupBy("rid").agg(F.collect_list(F.struct("gram", "at", "before", "after", "n")).alias("wanted"))
+    bodies = stage(rows.join(by_text, "rid").mapInArrow(cut_contexts, COUNTED), "bwt-bodies")
+    spans = stage(inner.unionByName(spans_of_bodies(bodies)), "bwt-spans")
     discard(shared, contexts, sizes, bodies)
     return spans
 
