@@ -8,7 +8,7 @@ whose lines have occurred at an earlier place (by doc_id, nulls first, then line
 runs as long as the match is. The first occurrence stays whole.
 
 Nulls: a null text is empty and stays null. Repeated rows (same id, same text) are one document. Empty lines count as lines. A text without
-passages (fewer lines and words): untouched. Empty table: no rows. Ties in order can't occur between different documents with different ids;
+passages (fewer lines and words): untouched. Very long texts: cut and hashed whole. Clashing names: extra columns of any name are kept as they are. Empty table: no rows. Ties in order can't occur between different documents with different ids;
 of different texts under one id, the lesser text hash comes first.
 """
 
@@ -71,17 +71,19 @@ def deletions(docs: DataFrame, run: int = RUN, words: int = WORDS, id_col: str =
 
 
 def line_dedup(docs: DataFrame, run: int = RUN, words: int = WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs with the text that is left, and _n_lines and _n_removed."""
-    gone = deletions(docs, run, words, id_col, text_col).withColumnsRenamed({"doc_id": "_doc", "mark": "_mark", "gone": "_gone"})
-    others = [F.col(f"`{c}`") for c in docs.columns if c != text_col]
-    # The lines pass the join as a column of their own, so that they are cut once and not for every line that is looked up.
-    cut = docs.select(*others, F.xxhash64(f"`{text_col}`").alias("_own"), F.split(F.col(f"`{text_col}`"), "\n", -1).alias("_lines"))
-    joined = cut.join(gone, F.col(f"`{id_col}`").cast("long").eqNullSafe(F.col("_doc")) & (F.col("_own") == F.col("_mark")), "left")
-    left = F.array_except(F.sequence(F.lit(1), F.size("_lines")), "_gone")
-    text = F.array_join(F.when(F.col("_gone").isNull(), F.col("_lines")).otherwise(F.transform(left, lambda i: F.element_at("_lines", i))), "\n")
-    n_lines = F.when(F.col("_lines").isNull(), 0).otherwise(F.size("_lines"))
-    n_gone = F.when(F.col("_gone").isNull(), 0).otherwise(F.size("_gone"))
-    return joined.select(*[text.alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns], n_lines.alias("_n_lines"), n_gone.alias("_n_removed"))
+    """docs with the text that is left, and _n_lines and _n_removed (in place of columns of these names)."""
+    gone = deletions(docs, run, words, id_col, text_col).select(F.col("doc_id").alias("gone_id"), F.col("mark").alias("gone_mark"), "gone")
+    names = [c for c in docs.columns if c not in ("_n_lines", "_n_removed")]
+    # The lines pass the join as a column of their own, so that they are cut once and not for every line that is looked up. The other columns pass as one struct.
+    text = F.col(f"`{text_col}`")
+    others = F.struct(*[F.col(f"`{c}`") for c in names if c != text_col])
+    cut = docs.select(others.alias("others"), F.col(f"`{id_col}`").cast("long").alias("own_id"), F.xxhash64(text).alias("own_mark"), F.split(text, "\n", -1).alias("lines"))
+    joined = cut.join(gone, F.col("own_id").eqNullSafe(F.col("gone_id")) & (F.col("own_mark") == F.col("gone_mark")), "left")
+    left = F.array_except(F.sequence(F.lit(1), F.size("lines")), "gone")
+    kept = F.array_join(F.when(F.col("gone").isNull(), F.col("lines")).otherwise(F.transform(left, lambda i: F.element_at("lines", i))), "\n")
+    n_lines = F.when(F.col("lines").isNull(), 0).otherwise(F.size("lines"))
+    n_gone = F.when(F.col("gone").isNull(), 0).otherwise(F.size("gone"))
+    return joined.select(*[kept.alias(c) if c == text_col else F.col("others")[c].alias(c) for c in names], n_lines.alias("_n_lines"), n_gone.alias("_n_removed"))
 
 
 def report(docs: DataFrame, run: int = RUN, words: int = WORDS) -> DataFrame:

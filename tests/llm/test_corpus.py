@@ -571,6 +571,16 @@ def test_sites_of_urls(spark):
     assert all((r["good_shift"] > 0.5 and r["bad_shift"] < -0.5) if "good" in r["path"] else (r["good_shift"] < -0.5 and r["bad_shift"] > 0.5) for r in found if "/" in r["path"])
 
 
+def test_filters_with_clashing_names_and_empty_tables(spark, docs, empty):
+    labels = spark.createDataFrame([(20, 1, 0), (60, 0, 0), (21, 1, 0), (61, 0, 0)], "doc_id long, quality int, toxic int")
+    bench = spark.createDataFrame([(1, docs.where("doc_id = 63").first()["text"][:400])], "item_id long, text string")
+    for f in (exact_dedup.exact_dedup, near_dedup.near_dedup, lambda d: quality.filter_quality(d, labels), lambda d: decontaminate.decontaminate(d, bench)):
+        left = f(docs)
+        assert left.columns == docs.columns and 0 < left.count() < docs.count()
+        assert left.where("_sha = 's' AND `row` = 'r' AND _gone <=> doc_id").count() == left.count()
+        assert f(empty).count() == 0
+
+
 def test_pipeline(spark):
     import corpus_pipeline
 
