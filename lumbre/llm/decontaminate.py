@@ -216,3 +216,21 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     """docs without the documents that hold a benchmark item."""
     gone = contaminated(docs, benchmark, id_col, text_col).select("doc_id", "text_hash").distinct()
     return without(docs, gone, doc_id=F.col(f"`{id_col}`").cast("long"), text_hash=F.xxhash64(f"`{text_col}`"))
+
+
+ORACLE = rf"""
+WITH texts AS (SELECT true AS is_item, row_number() OVER () AS r, item_id AS id, text FROM benchmark UNION ALL SELECT false, row_number() OVER (), doc_id, text FROM documents),
+words AS (SELECT is_item, r, id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM texts),
+lists AS (SELECT is_item, r, id, CASE WHEN len(w) < 5 THEN [array_to_string(w, ' ')] ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END AS l FROM words WHERE len(w) > 0),
+places AS (SELECT is_item, r, unnest(l) AS shingle, unnest(range(0, len(l))) AS pos FROM lists),
+items AS (SELECT r AS item, shingle, count(*) AS wanted FROM places WHERE is_item GROUP BY 1, 2),
+docs AS (SELECT r, shingle, pos FROM places WHERE NOT is_item),
+pairs AS (SELECT DISTINCT item, r FROM items JOIN docs USING (shingle)),
+bounded AS (SELECT item, p.r, len(i.l) AS size, least(len(i.l), len(d.l)) AS length, len(d.l) AS n, i.id AS item_id, d.id AS doc_id FROM pairs p JOIN lists i ON i.is_item AND i.r = p.item JOIN lists d ON NOT d.is_item AND d.r = p.r),
+windows AS (SELECT *, unnest(range(0, n - length + 1)) AS first_word FROM bounded),
+held AS (
+  SELECT w.item, w.r, first_word, any_value(size + length) AS total, any_value(item_id) AS item_id, any_value(doc_id) AS doc_id, least(count(*), any_value(wanted)) AS n
+  FROM windows w JOIN docs d ON d.r = w.r AND d.pos BETWEEN first_word AND first_word + length - 1 JOIN items i ON i.item = w.item AND i.shingle = d.shingle GROUP BY w.item, w.r, first_word, d.shingle),
+alike AS (SELECT item, r, first_word, any_value(item_id) AS item_id, any_value(doc_id) AS doc_id, sum(n) / (any_value(total) - sum(n)) AS similarity FROM held GROUP BY item, r, first_word)
+SELECT doc_id, item_id, similarity, first_word FROM (SELECT *, row_number() OVER (PARTITION BY item, r ORDER BY similarity DESC, first_word) AS k FROM alike WHERE similarity >= {SIMILARITY}) WHERE k = 1
+"""

@@ -319,3 +319,18 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """docs with one document of each component."""
     gone = near_groups(docs, id_col, text_col).where(~F.col("kept")).select("doc_id").distinct()
     return without(docs, gone, doc_id=F.col(f"`{id_col}`").cast("long"))
+
+
+ORACLE = rf"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+sets AS (
+  SELECT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')] ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END) AS shingle FROM words),
+sizes AS (SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id),
+pairs AS (SELECT a.doc_id AS i, b.doc_id AS j, count(*) AS common FROM sets a JOIN sets b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY 1, 2),
+links AS (SELECT i, j FROM pairs JOIN sizes a ON a.doc_id = i JOIN sizes b ON b.doc_id = j WHERE 100 * common >= 75 * (a.n + b.n - common)),
+edges AS (SELECT i, j FROM links UNION ALL SELECT j, i FROM links),
+reach(doc_id, other) AS (SELECT doc_id, doc_id FROM documents UNION SELECT r.doc_id, e.j FROM reach r JOIN edges e ON r.other = e.i),
+least AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, component_id, d.doc_id = component_id AS kept FROM documents d JOIN least USING (doc_id) LEFT JOIN sizes USING (doc_id)
+"""

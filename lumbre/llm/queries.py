@@ -67,4 +67,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_line_dedup": line_dedup.ORACLE, "op8_exact_dedup": exact_dedup.ORACLE, "op9_warc": arc_warc.ORACLE}
+    return {
+        "op2_decontamination": decontaminate.ORACLE, "op3_line_dedup": line_dedup.ORACLE, "op7_near_dedup": near_dedup.ORACLE,
+        "op8_exact_dedup": exact_dedup.ORACLE, "op9_warc": arc_warc.ORACLE, "op10_substring_dedup": substring_dedup.ORACLE,
+    }

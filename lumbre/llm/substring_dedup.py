@@ -350,3 +350,20 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     by_text = spans.groupBy("rid").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, n_kept long, n_chars_kept long, changed boolean" + ", kept_bytes binary" * keep_text
     return rows.join(by_text, "rid", "left").mapInArrow(lambda b: strip(b, keep_text), schema)
+
+
+ORACLE = f"""
+WITH bytes AS (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+strings AS MATERIALIZED (SELECT r, s, md5_number(substr(h, 2 * s - 1, {2 * SIZE})) AS k FROM (SELECT r, h, unnest(range(1, len(h) // 2 - {SIZE - 2})) AS s FROM bytes)),
+again AS (SELECT r, s FROM strings WHERE k IN (SELECT k FROM strings GROUP BY k HAVING count(*) > 1)),
+marked AS (SELECT r, s, coalesce(s - lag(s) OVER (PARTITION BY r ORDER BY s) > {SIZE}, true) AS first FROM again),
+runs AS (SELECT r, min(s) AS a, max(s) + {SIZE - 1} AS b FROM (SELECT r, s, sum(CAST(first AS INTEGER)) OVER (PARTITION BY r ORDER BY s) AS run FROM marked) GROUP BY r, run),
+gaps AS (SELECT r, a, b, lag(b, 1, 0) OVER (PARTITION BY r ORDER BY a) AS before FROM runs),
+cut AS (
+  SELECT r, count(*) AS n_spans, sum(b - a + 1) AS n_removed, string_agg(substr(h, 2 * before + 1, 2 * (a - 1 - before)), '' ORDER BY a) || substr(any_value(h), 2 * max(b) + 1) AS kept
+  FROM gaps JOIN bytes USING (r) GROUP BY r),
+whole AS (SELECT doc_id, len(h) // 2 AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans, coalesce(kept, h) AS kept FROM bytes LEFT JOIN cut USING (r))
+SELECT doc_id, n_bytes, n_removed, n_spans, sha256(unhex(kept)) AS kept_sha256, len(kept) // 2 AS n_kept,
+  len(regexp_extract_all(regexp_replace(kept, '(..)', '\\1 ', 'g'), '[0-7]. |[CD]. [89AB]. |E. [89AB]. [89AB]. |F. [89AB]. [89AB]. [89AB]. ')) AS n_chars_kept, n_removed > 0 AS changed
+FROM whole
+"""
