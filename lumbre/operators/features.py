@@ -3,18 +3,28 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.text import strip
 from . import quantiles
 
 #: Features that a covariance matrix may have: it is held on the driver, features squared.
 MOST_FEATURES = 2000
 # Fixed value: the category of a missing one in distances.
 UNKNOWN = "desconocido"
+# Fixed value: a missing category where components are made.
+MISSING = "missing"
+# The types of dwellings and the spellings of each.
+DWELLINGS = {
+    "casa_aislada": ["casa_aislada", "casa aislada"],
+    "casa_pareada": ["casa_pareada", "casa pareada"],
+    "depto": ["depto", "departamento"],
+}
 
 
 def imputation_values(df: DataFrame, numeric: list[str], categorical: list[str]) -> dict[str, object]:
@@ -40,6 +50,12 @@ def impute(df: DataFrame, values: dict[str, object]) -> DataFrame:
     return df.fillna(values)
 
 
+def fill_categories(df: DataFrame, cols: list[str], other: dict[str, str] | None = None) -> DataFrame:
+    """Stripped text with `missing` for null, or what `other` names for the column; a value that reads `missing` goes the same way."""
+    other = other or {}
+    return df.withColumns({c: F.when(F.coalesce(strip(F.col(c)) == MISSING, F.lit(True)), other.get(c, MISSING)).otherwise(strip(F.col(c))) for c in cols})
+
+
 def select_features(df: DataFrame, excluded: list[str]) -> tuple[list[str], list[str]]:
     """Numeric and string columns that aren't excluded and have any value."""
     numeric = [f.name for f in df.schema if isinstance(f.dataType, T.NumericType) and f.name not in excluded]
@@ -124,6 +140,23 @@ def pca(df: DataFrame, numeric: list[str], categorical: list[str], k: int = 2) -
     return model.scores(encoded), model
 
 
+def pca_by_stratum(df: DataFrame, stratum: str, numeric: list[str], categorical: list[str], k: int = 5, synonyms: dict[str, list[str]] = DWELLINGS) -> dict[str, tuple[DataFrame, Components]]:
+    """pca() for each stratum, under its name; a stratum has the rows whose text is one of its spellings, whatever the case. A stratum without rows is left out."""
+    written = strip(F.lower(F.coalesce(F.col(stratum), F.lit(MISSING))))
+    out = {}
+    for name, spellings in synonyms.items():
+        part = df.where(written.isin(spellings))
+        if not part.isEmpty():
+            out[name] = pca(part, numeric, categorical, k)
+    return out
+
+
+def variance_by_stratum(spark, models: dict[str, tuple[DataFrame, Components]], stratum: str) -> DataFrame:
+    tables = [model.variance_table(spark).withColumn(stratum, F.lit(name)) for name, (_, model) in models.items()]
+    empty = spark.createDataFrame([], f"component string, variance double, share double, cumulative double, `{stratum}` string")
+    return reduce(DataFrame.unionByName, tables, empty)
+
+
 def aggregate_loadings(table: DataFrame, names: list[str]) -> DataFrame:
     """By component and original variable: the sum of absolute loadings, signed like the largest of them."""
     own = F.lit(None).cast("string")

@@ -5,9 +5,6 @@ A document's parser is pluggable: it must give characters (doc, page, seqno, lay
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -51,13 +48,13 @@ def bands(df: DataFrame, keys: list[str], y: str, tolerance: float, order: list[
     """`line`: rows of a key whose y lies within the tolerance of the running mean of the line before, in order of y. One fold a key, without Python."""
     item = F.struct(F.col(y).cast("double").alias("y"), F.struct(*order).alias("o"), F.struct(*[c for c in df.columns if c not in keys]).alias("r"))
     folded = F.aggregate(
-        F.array_sort(F.collect_list(item)),
+        "_items",
         F.struct(F.lit(0).alias("line"), F.lit(0.0).alias("mean"), F.lit(0).alias("n"), F.array().cast("array<int>").alias("out")),
         lambda a, x: F.when((a["n"] > 0) & (F.abs(x["y"] - a["mean"]) <= tolerance), F.struct(a["line"].alias("line"), ((a["mean"] * a["n"] + x["y"]) / (a["n"] + 1)).alias("mean"), (a["n"] + 1).alias("n"), F.concat(a["out"], F.array(a["line"])).alias("out"))).otherwise(
             F.struct((a["line"] + 1).alias("line"), x["y"].alias("mean"), F.lit(1).alias("n"), F.concat(a["out"], F.array(a["line"] + 1)).alias("out"))
         ),
     )
-    grouped = df.groupBy(*keys).agg(F.array_sort(F.collect_list(item)).alias("_items"), folded["out"].alias("_lines"))
+    grouped = df.groupBy(*keys).agg(F.array_sort(F.collect_list(item)).alias("_items")).withColumn("_lines", folded["out"])
     return grouped.select(*keys, F.explode(F.arrays_zip("_items", "_lines")).alias("_z")).select(*keys, "_z._items.r.*", F.col("_z._lines").alias("line"))
 
 
@@ -88,24 +85,17 @@ def dedup_words(words: DataFrame, keys: list[str], tolerance: float = 1.0, overl
     order = Window.partitionBy(*keys, "text", *place).orderBy("y0", "x0")
     first = words.withColumn("_n", F.row_number().over(order)).where("_n = 1").drop("_n")
 
-    def greedy(page: pd.DataFrame) -> pd.DataFrame:
-        page = page.sort_values(["y0", "x0", "x1", "y1"], kind="stable")
-        kept: dict[str, list] = {}
-        take = []
-        for row in page.itertuples(index=False):
-            same = False
-            for k in kept.get(row.text, []):
-                w, h = min(row.x1, k.x1) - max(row.x0, k.x0), min(row.y1, k.y1) - max(row.y0, k.y0)
-                least = min((row.x1 - row.x0) * (row.y1 - row.y0), (k.x1 - k.x0) * (k.y1 - k.y0))
-                common = w * h / least if w > 0 and h > 0 and least > 0 else 0.0
-                apart = max(abs(row.x0 + row.x1 - k.x0 - k.x1), abs(row.y0 + row.y1 - k.y0 - k.y1)) / 2
-                same = same or common >= overlap or apart <= near
-            take.append(not same)
-            if not same:
-                kept.setdefault(row.text, []).append(row)
-        return page[take]
-
-    return first.groupBy(*keys).applyInPandas(greedy, first.schema)
+    def same(w: Column, k: Column) -> Column:
+        a, b = (tuple(x[c] for c in BOX) for x in (w, k))
+        apart = F.greatest(F.abs(a[0] + a[2] - b[0] - b[2]), F.abs(a[1] + a[3] - b[1] - b[3])) / 2
+        return (overlap_ratio(a, b) >= overlap) | (apart <= near)
+
+    # Only equal words of a page can lie on each other: one fold over the few of them, without Python.
+    others = [c for c in first.columns if c not in (*keys, "text", *BOX)]
+    item = F.struct("y0", "x0", "x1", "y1", F.struct(F.lit(0).alias("_"), *others).alias("r"))
+    equal = first.groupBy(*keys, "text").agg(F.array_sort(F.collect_list(item)).alias("_all"))
+    kept = F.aggregate("_all", F.slice("_all", 1, 0), lambda held, w: F.when(F.exists(held, lambda k: same(w, k)), held).otherwise(F.concat(held, F.array(w))))
+    return equal.select(*keys, "text", F.explode(kept).alias("_w")).select(*[F.col(f"_w.{c}") if c in BOX else F.col(f"_w.r.{c}") if c in others else F.col(c) for c in first.columns])
 
 
 def rows_of(words: DataFrame, keys: list[str], tolerance: float = 3.5) -> DataFrame:

@@ -24,11 +24,8 @@ def beside(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
     return left.join(other, on).drop(*[f"_{k}" for k in keys])
 
 
-def percentiles(df: DataFrame, cols: list[str], probabilities: list[float], by: list[str] | None = None) -> DataFrame:
-    """(by, variable, q): linear interpolation between neighbours, null values left out. Groups or variables without a value have no row."""
-    by = by or []
-    keys = [*by, "variable"]
-    long = df.select(*by, *[F.col(c).cast("double").alias(c) for c in cols]).unpivot(by, cols, "variable", "value").where("value IS NOT NULL")
+def placed_counts(long: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, value, n, last, size): how often a value occurs under its keys, how many values are not above it, and how many there are. long: keys, among them variable, and value, not null."""
     splits = long.groupBy("variable").agg(F.percentile_approx("value", [k / PARTS for k in range(1, PARTS)], 2000).alias("splits"))
     counts = long.groupBy(*keys, "value").agg(F.count("*").alias("n"))
     dealt = counts.join(F.broadcast(splits), "variable").withColumn("part", F.size(F.filter("splits", lambda s: s < F.col("value")))).drop("splits")
@@ -37,7 +34,15 @@ def percentiles(df: DataFrame, cols: list[str], probabilities: list[float], by:
     totals = totals.withColumns({"size": F.sum("here").over(group), "before": F.sum("here").over(group.orderBy("part").rowsBetween(Window.unboundedPreceding, 0)) - F.col("here")}).drop("here")
     upto = F.sum("n").over(Window.partitionBy(*keys, "part").orderBy("value").rowsBetween(Window.unboundedPreceding, 0))
     placed = beside(dealt.withColumn("upto", upto), totals, [*keys, "part"])
-    last = F.col("before") + F.col("upto")  # places are numbered from 0: this value has those from last - n on
+    return placed.select(*keys, "value", "n", (F.col("before") + F.col("upto")).alias("last"), "size")
+
+
+def percentiles(df: DataFrame, cols: list[str], probabilities: list[float], by: list[str] | None = None) -> DataFrame:
+    """(by, variable, q): linear interpolation between neighbours, null values left out. Groups or variables without a value have no row."""
+    by = by or []
+    keys = [*by, "variable"]
+    long = df.select(*by, *[F.col(c).cast("double").alias(c) for c in cols]).unpivot(by, cols, "variable", "value").where("value IS NOT NULL")
+    placed, last = placed_counts(long, keys), F.col("last")  # places are numbered from 0: a value has those from last - n on
 
     def at(place: Column) -> Column:
         return F.max(F.when((place >= last - F.col("n")) & (place < last), F.col("value")))

@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.sinks import staged
+
 
 def spread(df: DataFrame) -> DataFrame:
     """Rows over all cores before costly expressions, where a small file has come as fewer partitions; large tables pass unchanged."""
@@ -83,17 +85,20 @@ def upsert_update(old: DataFrame, new: DataFrame, key: str, surrogate: str, orde
 
 
 def numbered(df: DataFrame, order: Column, name: str, start: int = 1) -> DataFrame:
-    """A dense number in the given order over any number of partitions. Holds the partitions' sizes on the driver, one number each."""
+    """A dense number in the given order over any number of partitions.
+
+    Rows are sorted and written out once with their partition's number and their place in it, so no later loss or re-run can deal them out anew. Holds the partitions' sizes on the driver, one number each.
+    """
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = df.repartitionByRange(n, order).sortWithinPartitions(order).withColumn("_part", F.spark_partition_id()).persist()
-    sizes = {r["_part"]: r["count"] for r in dealt.groupBy("_part").count().collect()}
+    dealt = staged(df.repartitionByRange(n, order).sortWithinPartitions(order).withColumn("_at", F.monotonically_increasing_id()))
+    part, place = F.shiftright("_at", 33), F.col("_at").bitwiseAND((1 << 33) - 1)
+    sizes = dealt.groupBy(part.alias("part")).count().collect()
     before, run = {}, start
-    for p in sorted(sizes):
+    for p, size in sorted(map(tuple, sizes)):
         before[p] = run
-        run += sizes[p]
-    starts = F.create_map(*[F.lit(x) for kv in before.items() for x in kv]) if before else F.create_map(F.lit(0), F.lit(start))
-    rank = F.row_number().over(Window.partitionBy("_part").orderBy(order))
-    return dealt.withColumn(name, (starts[F.col("_part")] + rank - 1).cast("long")).drop("_part")
+        run += size
+    starts = F.create_map(*[F.lit(x) for kv in (before or {0: start}).items() for x in kv])
+    return dealt.withColumn(name, (starts[part] + place).cast("long")).drop("_at")
 
 
 def update_join(df: DataFrame, changes: DataFrame, key: str, column: str) -> DataFrame:
@@ -132,6 +137,11 @@ def dedup_keep_last(df: DataFrame, keys: list[str], order: str) -> DataFrame:
     return newest_first(df, keys, [F.col(order).desc()])
 
 
+def sorted_catalogue(df: DataFrame, keys: list[str], order: str, by: list[str]) -> DataFrame:
+    """The last row of each key, sorted."""
+    return dedup_keep_last(df, keys, order).orderBy(*by)
+
+
 def random_sample(df: DataFrame, n: int, seed: int | None = None) -> DataFrame:
     """n rows in random order; without a seed, others each time."""
     return df.orderBy(F.rand(seed) if seed is not None else F.rand()).limit(n)

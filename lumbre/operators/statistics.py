@@ -6,7 +6,7 @@ import math
 from itertools import combinations
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
@@ -74,25 +74,16 @@ def chi2_tail(x: pd.Series, dof: pd.Series) -> pd.Series:
 def kruskal_wallis(df: DataFrame, value: str, group: str, tail: bool = True) -> DataFrame:
     """H with tie correction, dof, epsilon squared, and p. Ranks come from counts by value, so the rows themselves are never sorted in one task.
 
-    A running sum over the counts by value is made in two steps: within range partitions of the values, and over those partitions' totals.
+    The ties' sum is made over the counts by group and value too: c * (t^2 - 1) adds up to t^3 - t for each value.
     """
     rows = df.where(F.col(value).isNotNull() & F.col(group).isNotNull()).select(F.col(group).alias("g"), F.col(value).cast("double").alias("v"))
-    n_tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ties = rows.groupBy("v").agg(F.count("*").alias("t")).repartitionByRange(n_tasks, "v").withColumn("part", F.spark_partition_id()).persist()
-    sizes = {r["part"]: r["n"] for r in ties.groupBy("part").agg(F.sum("t").alias("n")).collect()}
-    before, run = {}, 0
-    for p in sorted(sizes):
-        before[p] = run
-        run += sizes[p]
-    starts = F.create_map(*[F.lit(x) for kv in (before or {0: 0}).items() for x in kv])
-    upto = F.sum("t").over(Window.partitionBy("part").orderBy("v").rowsBetween(Window.unboundedPreceding, 0))
-    ranked = ties.withColumn("rank", starts[F.col("part")] + upto - (F.col("t") - 1) / 2.0)
-    by_group = rows.groupBy("g", "v").agg(F.count("*").alias("c")).join(ranked.select("v", "rank"), "v").groupBy("g").agg(F.sum("c").alias("n"), F.sum(F.col("c") * F.col("rank")).alias("r"))
-    totals = by_group.agg(F.sum("n").alias("n"), F.count("*").alias("k"), F.sum(F.col("r") * F.col("r") / F.col("n")).alias("s"))
-    correction = ties.agg(F.sum(F.pow(F.col("t").cast("double"), 3) - F.col("t")).alias("ties"))
+    placed = quantiles.placed_counts(rows.select(F.lit("v").alias("variable"), F.col("v").alias("value")), ["variable"])
+    ranked = placed.select(F.col("value").alias("v"), F.col("n").cast("double").alias("t"), (F.col("last") - (F.col("n") - 1) / 2.0).alias("rank"))
+    by_group = rows.groupBy("g", "v").agg(F.count("*").alias("c")).join(ranked, "v").groupBy("g").agg(F.sum("c").alias("n"), F.sum(F.col("c") * F.col("rank")).alias("r"), F.sum(F.col("c") * (F.col("t") * F.col("t") - 1)).alias("ties"))
+    totals = by_group.agg(F.sum("n").alias("n"), F.count("*").alias("k"), F.sum(F.col("r") * F.col("r") / F.col("n")).alias("s"), F.sum("ties").alias("ties"))
     n, k = F.col("n"), F.col("k")
     h = (12.0 / (n * (n + 1.0)) * F.col("s") - 3.0 * (n + 1.0)) / (1 - F.col("ties") / (F.pow(n.cast("double"), 3) - n))
-    out = totals.join(F.broadcast(correction)).select(F.when(k >= 2, h).alias("h"), (k - 1).alias("dof"), "n", "k").withColumn("epsilon2", (F.col("h") - k + 1) / (n - k))
+    out = totals.select(F.when(k >= 2, h).alias("h"), (k - 1).alias("dof"), "n", "k").withColumn("epsilon2", (F.col("h") - k + 1) / (n - k))
     return out.withColumn("p", chi2_tail(F.col("h"), F.col("dof").cast("double"))) if tail else out
 
 

@@ -3,16 +3,20 @@
 from __future__ import annotations
 
 import re
-import tempfile
+import sqlite3
 import uuid
+import zipfile
 from collections.abc import Callable
+from contextlib import closing
+from datetime import datetime
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import dates, numbers, text
 from ..operators import binning, certificates, clustering, features, layout, profiling, relational, statistics
-from ..sources import files, html, parsed
+from ..sources import files, html, parsed, sinks, sqlite, tables
 from ..streaming import incremental
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,15 +34,6 @@ def query(sql: str | None = None):
     return add
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """spark.checkpoint.dir; only a session of one process may go without it."""
-    if folder := spark.conf.get("spark.checkpoint.dir", None):
-        return folder.rstrip("/")
-    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
-        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-    return f"file://{tempfile.mkdtemp()}"
-
-
 def table(spark: SparkSession, d: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{d}/{name}.parquet")
 
@@ -790,12 +785,152 @@ def one_hot_columns(spark, d):
     return out.select("l_orderkey", "l_linenumber", *new)
 
 
+MESSY = "CASE WHEN o_orderkey % 7 = 0 THEN NULL WHEN o_orderkey % 7 = 1 THEN chr(9) || ' missing ' ELSE ' ' || o_orderpriority || chr(10) END"
+
+
+@query(f"""SELECT o_orderkey, CASE WHEN v IS NULL OR v = 'missing' THEN 'missing' ELSE v END AS kind, CASE WHEN v IS NULL OR v = 'missing' THEN 'indeterminado' ELSE v END AS tipo_inmueble FROM (SELECT o_orderkey, trim(x, chr(9) || chr(10) || ' ') AS v FROM (SELECT o_orderkey, {MESSY} AS x FROM orders))""")
+def filled_categories(spark, d):
+    k = F.col("o_orderkey") % 7
+    messy = F.when(k == 0, None).when(k == 1, "\t missing ").otherwise(F.concat(F.lit(" "), "o_orderpriority", F.lit("\n")))
+    rows = table(spark, d, "orders").select("o_orderkey", messy.alias("kind"), messy.alias("tipo_inmueble"))
+    return features.fill_categories(rows, ["kind", "tipo_inmueble"], {"tipo_inmueble": "indeterminado"})
+
+
+@query("""WITH t AS (SELECT CASE l_returnflag WHEN 'A' THEN 'casa_aislada' WHEN 'N' THEN 'depto' END AS stratum, l_quantity AS x, l_extendedprice AS y FROM lineitem),
+c AS (SELECT stratum, abs(corr(x, y)) AS r, count(*) * 1.0 / (count(*) - 1) AS f FROM t WHERE stratum IS NOT NULL GROUP BY 1)
+SELECT stratum, 'pc1' AS component, round((1 + r) * f, 8) AS variance, round((1 + r) / 2, 8) AS share, round((1 + r) / 2, 8) AS cumulative FROM c UNION ALL SELECT stratum, 'pc2', round((1 - r) * f, 8), round((1 - r) / 2, 8), 1.0 FROM c""")
+def pca_by_stratum(spark, d):
+    """Of two numbers, whose components SQL knows: one plus and one less the correlation. Types are written in several ways; one type is unknown and one has no rows."""
+    kind = F.when(F.col("l_returnflag") == "R", "otro").when(F.col("l_returnflag") == "N", F.when(F.col("l_linenumber") % 2 == 0, " Departamento").otherwise("DEPTO")).otherwise(F.when(F.col("l_linenumber") % 2 == 0, "casa aislada").otherwise("Casa_Aislada\t"))
+    models = features.pca_by_stratum(table(spark, d, "lineitem").withColumn("kind", kind), "kind", ["l_quantity", "l_extendedprice"], [], 2)
+    out = features.variance_by_stratum(spark, models, "stratum")
+    return out.select("stratum", "component", *[F.round(c, 8).alias(c) for c in ("variance", "share", "cumulative")])
+
+
+@query("""WITH g AS (SELECT c_nationkey % 6 - 1 AS label, count(*) AS n FROM customer GROUP BY 1), m AS (SELECT label, v, row_number() OVER (PARTITION BY label ORDER BY k DESC, v) AS i FROM (SELECT c_nationkey % 6 - 1 AS label, c_mktsegment AS v, count(*) AS k FROM customer GROUP BY 1, 2)),
+o AS (SELECT g.label, n, v FROM g JOIN m ON g.label = m.label AND i = 1 WHERE g.label <> -1), t AS (SELECT v, row_number() OVER (ORDER BY count(*) DESC, v) AS i FROM o GROUP BY v)
+SELECT min(n) AS least_n, median(n) AS median_n, max(n) AS most_n, arg_min(label, (-n, label)) AS largest, round(100.0 * max(n) / (SELECT count(*) FROM customer), 6) AS largest_pct, (SELECT string_agg(v, ', ' ORDER BY i) FROM t WHERE i <= 3) AS top_c_mktsegment FROM o""")
+def report_facts(spark, d):
+    rows = table(spark, d, "customer").withColumn("label", F.col("c_nationkey") % 6 - 1)
+    facts = clustering.report_facts(clustering.cluster_profile(rows, "label", ["c_acctbal"], ["c_mktsegment"]), "label", ["c_mktsegment"])
+    return facts.withColumn("largest_pct", F.round("largest_pct", 6)).drop("largest_label")
+
+
+@query("""SELECT user_id, event_type, value FROM (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id DESC) AS k FROM events) WHERE k = 1""")
+def sorted_catalogue(spark, d):
+    return relational.sorted_catalogue(table(spark, d, "events"), ["user_id", "event_type"], "event_id", ["user_id", "event_type"]).select("user_id", "event_type", "value")
+
+
+# --- sources and sinks, there and back (of the 25 nations or 5 regions: their number never grows)
+
+
+def scratch(spark, suffix: str) -> str:
+    return f"{sinks.shared_folder(spark)}/sources/{uuid.uuid4().hex}{suffix}"
+
+
+def local_scratch(spark, suffix: str) -> str:
+    """For formats that Spark doesn't write: the shared folder as a path that the driver and every executor mount."""
+    base = re.sub("^file:/+", "/", sinks.shared_folder(spark))
+    if not base.startswith("/"):
+        raise ValueError(f"{base} isn't a mounted folder")
+    folder = Path(base) / "sources"
+    folder.mkdir(parents=True, exist_ok=True)
+    return str(folder / f"{uuid.uuid4().hex}{suffix}")
+
+
+def nations(spark, d):
+    return table(spark, d, "nation").select("n_nationkey", "n_name", "n_regionkey").orderBy("n_nationkey")
+
+
+@query("SELECT n_nationkey, n_name, n_regionkey FROM nation")
+def csv_scan(spark, d):
+    path = scratch(spark, ".csv")
+    sinks.write_semicolon(nations(spark, d), path)
+    return tables.read(spark, path, sep=";")
+
+
+@query("SELECT n_nationkey, n_name FROM nation UNION ALL SELECT n_nationkey, n_name FROM nation WHERE n_regionkey = 1")
+def csv_append_log(spark, d):
+    path, rows = scratch(spark, ".csv"), nations(spark, d)
+    sinks.append_log(rows.select("n_nationkey", "n_name"), path)
+    sinks.append_log(rows.where("n_regionkey = 1").select("n_nationkey", "n_name"), path)
+    return tables.read(spark, path)
+
+
+@query("SELECT n_nationkey, n_name, n_regionkey FROM nation")
+def json_rows(spark, d):
+    path = scratch(spark, ".json")
+    sinks.as_json(nations(spark, d)).write.text(path)
+    return spark.read.schema("n_nationkey bigint, n_name string, n_regionkey bigint").json(path)
+
+
+@query("SELECT 2 * row_number() OVER (ORDER BY n_nationkey) + 1 AS fila_origen, CAST(n_nationkey AS VARCHAR) AS clave, n_name AS nombre, '' AS vacio, CASE WHEN n_regionkey = 0 THEN '' ELSE CAST(n_regionkey AS VARCHAR) END AS region FROM nation")
+def xlsx_scan(spark, d):
+    """A workbook with shared and inline strings, numbers, gaps between cells and empty rows between full ones."""
+    rows = nations(spark, d).collect()
+    cells = lambda i, xs: f'<row r="{i}">' + "".join(f'<c r="{c}{i}" t="{t}">' + (f"<is><t>{v}</t></is>" if t == "inlineStr" else f"<v>{v}</v>") + "</c>" for c, t, v in xs) + f'</row><row r="{i + 1}"><c r="A{i + 1}"/></row>'
+    sheet = cells(1, [("A", "inlineStr", "clave"), ("B", "inlineStr", "nombre"), ("C", "inlineStr", "vacio"), ("D", "inlineStr", "region")])
+    sheet += "".join(cells(2 * k + 3, [("A", "n", r[0]), ("B", "s", k)] + [("D", "n", r[2])] * (r[2] != 0)) for k, r in enumerate(rows))
+    main = 'xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"'
+    path = local_scratch(spark, ".xlsx")
+    with zipfile.ZipFile(path, "w") as book:
+        book.writestr("xl/sharedStrings.xml", f"<sst {main}>" + "".join(f"<si><r><t>{r[1][:2]}</t></r><r><t>{r[1][2:]}</t></r></si>" for r in rows) + "</sst>")
+        book.writestr("xl/worksheets/sheet1.xml", f"<worksheet {main}><sheetData>{sheet}</sheetData></worksheet>")
+    return tables.read(spark, f"file://{path}")
+
+
+def nation_file(spark, d) -> str:
+    path = local_scratch(spark, ".sqlite")
+    with closing(sqlite3.connect(path)) as con, con:
+        con.execute("CREATE TABLE nacion (clave INTEGER PRIMARY KEY, nombre TEXT, region INT, medida REAL)")
+        con.executemany("INSERT INTO nacion VALUES (?, ?, ?, ?)", [(1000 * r[0], r[1], r[2], r[0] / 4 if r[0] % 2 else None) for r in nations(spark, d).collect()])
+        con.execute("CREATE TABLE region (clave TEXT PRIMARY KEY, n INT) WITHOUT ROWID")
+        con.executemany("INSERT INTO region VALUES (?, ?)", [(f"r{r[0]}", r[0]) for r in table(spark, d, "region").select("r_regionkey").collect()])
+    return path
+
+
+@query("SELECT 1000 * n_nationkey AS clave, n_name AS nombre, 'r' || n_regionkey AS region, CASE WHEN n_nationkey % 2 = 1 THEN n_nationkey / 4 END AS medida FROM nation")
+def sqlite_scan(spark, d):
+    """Two tables of a file joined in SQL: one with rowids, one without."""
+    path = nation_file(spark, d)
+    return sqlite.read_table(spark, path, "nacion").withColumnRenamed("region", "n").join(sqlite.read_table(spark, path, "region").withColumnRenamed("clave", "region"), "n").select("clave", "nombre", "region", "medida")
+
+
+@query("SELECT * FROM (VALUES ('nacion', 'clave', 'bigint'), ('nacion', 'nombre', 'string'), ('nacion', 'region', 'bigint'), ('nacion', 'medida', 'double'), ('region', 'clave', 'string'), ('region', 'n', 'bigint')) v(tabla, columna, tipo)")
+def sqlite_schema(spark, d):
+    path = nation_file(spark, d)
+    return spark.createDataFrame([(t, c, k) for t in sqlite.list_tables(path) for c, k in sqlite.table_schema(path, t)], "tabla string, columna string, tipo string")
+
+
+@query("SELECT printf('page_%02d_region_%02d', n_regionkey + 1, n_nationkey) AS id, n_regionkey + 1 AS page, round(n_nationkey / 3, 2) AS x0, round(n_nationkey / 3, 2) + 5 AS x1, printf('page_%02d_region_%02d', n_regionkey + 1, max(n_nationkey) OVER (PARTITION BY n_regionkey) + 1) AS next_id FROM nation")
+def regions_scan(spark, d):
+    """Rectangles of two clicks each, to JSON and back, with the next free name of their page."""
+    rows = nations(spark, d).collect()
+    path = local_scratch(spark, ".json")
+    sinks.write_json({"regions": [{"id": f"page_{r[2] + 1:02d}_region_{r[0]:02d}", "page": r[2] + 1, **files.rectangle(round(r[0] / 3, 2) + 5, 9.0, r[0] / 3, 1.0)} for r in rows]}, path)
+    found = files.read_regions(spark, f"file://{path}")
+    following = spark.createDataFrame([(p, files.next_region_id(found, p)) for p in sorted({r[2] + 1 for r in rows})], "page long, next_id string")
+    return found.join(F.broadcast(following), "page").select("id", "page", "x0", "x1", "next_id")
+
+
+@query("SELECT n_nationkey || '.pdf' AS name, 5 AS length FROM nation WHERE n_regionkey <> 0")
+def discovered_files(spark, d):
+    """Files of folders by pattern; another kind of file stands beside them."""
+    root = Path(local_scratch(spark, ""))
+    for r in nations(spark, d).collect():
+        folder = root / str(r[2])
+        folder.mkdir(parents=True, exist_ok=True)
+        (folder / f"{r[0]}.{'pdf' if r[2] else 'txt'}").write_bytes(b"%PDF-")
+    found = files.discover(spark, f"file://{root}", after=datetime(2000, 1, 1))
+    return found.select(F.substring_index("path", "/", -1).alias("name"), "length")
+
+
 # --- incremental mode
 
 @query("""SELECT event_id, user_id, event_type, value FROM (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id DESC) AS k FROM events) WHERE k = 1""")
 def incremental_upsert(spark, d):
     """The events as a stream of files (a pattern, since a stream takes a file only so), upserted by key in micro-batches, then the newest row of every key."""
-    base = f"{shared_folder(spark)}/incremental-{uuid.uuid4().hex}"
+    base = f"{sinks.shared_folder(spark)}/incremental-{uuid.uuid4().hex}"
     stream = incremental.new_files(spark, f"{d}/events.parque[t]", table(spark, d, "events").schema)
     incremental.upsert_stream(stream, ["user_id", "event_type"], "event_id", f"{base}/rows", f"{base}/state").awaitTermination()
     return incremental.read_latest(spark, f"{base}/rows", ["user_id", "event_type"]).select("event_id", "user_id", "event_type", "value")

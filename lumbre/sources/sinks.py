@@ -4,12 +4,31 @@ from __future__ import annotations
 
 import json
 import platform
+import re
+import tempfile
+import uuid
 from pathlib import Path
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """spark.checkpoint.dir; only a session of one process may go without it."""
+    if folder := spark.conf.get("spark.checkpoint.dir", None):
+        return folder.rstrip("/")
+    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return f"file://{tempfile.mkdtemp()}"
+
+
+def staged(df: DataFrame) -> DataFrame:
+    """df written to the shared folder and read back: worked out once, whatever is lost later."""
+    path = f"{shared_folder(df.sparkSession)}/staged/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def append_log(df: DataFrame, path: str) -> None:
     df.write.mode("append").option("header", True).csv(path)
 
@@ -63,6 +82,6 @@ def markdown_table(df: DataFrame, rows: int = 20) -> str:
     return "\n".join(lines + ["| " + " | ".join(cell(v) for v in r) + " |" for r in df.limit(rows).collect()])
 
 
-def cluster_report(metrics: DataFrame, profile: DataFrame, tests: DataFrame | None = None) -> str:
-    parts = ["# Clusters", markdown_table(metrics), "## Profiles", markdown_table(profile)]
+def cluster_report(metrics: DataFrame, profile: DataFrame, tests: DataFrame | None = None, facts: DataFrame | None = None) -> str:
+    parts = ["# Clusters", markdown_table(metrics)] + ([] if facts is None else ["## Sizes", markdown_table(facts)]) + ["## Profiles", markdown_table(profile)]
     return "\n\n".join(parts + (["## Tests", markdown_table(tests)] if tests is not None else [])) + "\n"
