@@ -25,8 +25,10 @@ from pyspark.sql import functions as F
 
 from .shared import as_rows, column
 
-#: Words that a worker remembers; then it forgets all and starts anew.
-REMEMBER = 450_000
+#: Words that a worker remembers, and the letters of these and of their tokens; then it forgets all and starts anew.
+REMEMBER, REMEMBER_LETTERS = 450_000, 48 << 20
+#: Pairs of tokens and steps of the trie that a worker remembers, about 160 and 400 bytes each.
+PAIRS, STEPS = 500_000, 200_000
 #: Beyond these letters, the library's own normalizer and splitter are used: its Unicode tables are of another version.
 RARE = re.compile("[\u0530-\U0010ffff\x00]")
 
@@ -115,7 +117,7 @@ class TrieBpe:
 
     def beside(self, left: int, right: int) -> bool:
         if (known := self.known.get((left, right))) is None:
-            if len(self.known) > 4_000_000:
+            if len(self.known) >= PAIRS:
                 self.known.clear()
             known = self.known[left, right] = self.fits(left, right)
         return known
@@ -153,13 +155,13 @@ class TrieBpe:
         out: dict[str, list[int]] = {}
         last_of: list[int] = [0] * 16
         steps, letters, last = self.steps, self.letters, self.last
-        if len(steps) > 2_000_000:
-            steps.clear()
         stack = [(root, 0, "", "")]
         while stack:
             node, depth, state, letter = stack.pop()
             if depth:
                 if (found := steps.get((state, letter, False))) is None:
+                    if len(steps) >= STEPS:
+                        steps.clear()
                     found = steps[state, letter, False] = self.step(state, letter, False)
                 state = found[0]
                 if depth >= len(last_of):
@@ -208,6 +210,7 @@ class WordTokenizer:
         self.numbers = {t: str(t) for t in self.bpe.strings}
         self.ids: dict[str, str] = {}
         self.tokens: dict[str, str] = {}
+        self.held = 0
 
     def plain(self, text: str) -> list[str]:
         """The words of a text without special tokens. A word in byte letters is marked by a leading NUL."""
@@ -228,6 +231,7 @@ class WordTokenizer:
             ids, strings = " ".join([numbers[t] for t in tokens]), " ".join([letters[t] for t in tokens])
             for word in new[spelled]:
                 self.ids[word], self.tokens[word] = ids, strings
+                self.held += len(word) + len(ids) + len(strings)
 
     def split(self, text: str) -> list[str]:
         """The words of a text; special tokens stand for themselves."""
@@ -240,9 +244,10 @@ class WordTokenizer:
 
     def batch(self, texts: list[str]) -> Iterator[tuple[str, str, int]]:
         """(ids joined by spaces, decoded text, number of tokens) of each text."""
-        if len(self.ids) > REMEMBER:
+        if len(self.ids) > REMEMBER or self.held > REMEMBER_LETTERS:
             self.ids.clear()
             self.tokens.clear()
+            self.held = 0
         for s, i in self.special.items():
             self.ids[s], self.tokens[s] = str(i), s
         split = [self.split(t) for t in texts]

@@ -6,13 +6,14 @@ import random
 import re
 import zlib
 
+import duckdb
 import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from lumbre.llm import arc_warc, bpe_trie, decontaminate, exact_dedup, language_crf, line_dedup, near_dedup, quality, shared, substring_dedup, token_store
+from lumbre.llm import arc_warc, bpe_trie, decontaminate, exact_dedup, language_crf, line_dedup, near_dedup, quality, queries, shared, substring_dedup, token_store
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, h long, rep long, kept string, _gone long, _sha string, _mark long, _lines string, `row` string, mark long"
 WORD = "word_bpe_49k.json"
@@ -293,6 +294,17 @@ def test_bpe_words_and_letters():
     assert [x[0] for x in mine.batch(samples)] == [" ".join(map(str, e.ids)) for e in t.encode_batch(samples, add_special_tokens=False)]
 
 
+def test_bpe_forgets_and_gives_the_same(texts, monkeypatch):
+    path = public_tokenizers.path(WORD)
+    samples = [t or "" for _, t in texts]
+    wanted = list(bpe_trie.WordTokenizer(path).batch(samples))
+    for limit in ("PAIRS", "STEPS", "REMEMBER", "REMEMBER_LETTERS"):
+        monkeypatch.setattr(bpe_trie, limit, 3)
+    mine = bpe_trie.WordTokenizer(path)
+    assert [x for t in samples for x in mine.batch([t])] == wanted
+    assert len(mine.bpe.known) <= 3 and len(mine.bpe.steps) <= 3
+
+
 def test_token_store(spark, docs, empty, texts, monkeypatch):
     from tokenizers import Tokenizer
 
@@ -581,16 +593,44 @@ def test_filters_with_clashing_names_and_empty_tables(spark, docs, empty):
         assert f(empty).count() == 0
 
 
+def as_text(rows):
+    return sorted(tuple(str(v) for v in r) for r in rows)
+
+
+@pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
+def test_queries_against_sql(spark, name):
+    d = "/root/testdata/sf0.001"
+    con = duckdb.connect()
+    for t in ("documents", "benchmark", "pages"):
+        con.execute(f"create view {t} as select * from read_parquet('{d}/{t}.parquet')")
+    got = queries.queries()[name](spark, d)
+    assert as_text(got.collect()) == as_text(con.execute(f"select {', '.join(got.columns)} from ({queries.oracle_sql()[name]})").fetchall())
+
+
 def test_pipeline(spark):
+    """Each stage after the classifier against SQL or the library on the very rows that the stage before it kept."""
     import corpus_pipeline
+    from tokenizers import Tokenizer
 
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality", "exact_dedup", "near_dedup", "decontamination", "bpe"]
     d = "/root/testdata/sf0.001"
     docs, rows = shared.documents(spark, d), [shared.documents(spark, d).count()]
-    for _, f in corpus_pipeline.STAGES[:-1]:
+    gone = {
+        "exact_dedup": f"select doc_id from ({exact_dedup.ORACLE}) where not kept", "near_dedup": f"select doc_id from ({near_dedup.ORACLE}) where not kept",
+        "decontamination": f"select doc_id from ({decontaminate.ORACLE})",
+    }
+    for name, f in corpus_pipeline.STAGES[:-1]:
+        con = duckdb.connect()
+        con.register("documents", docs.toArrow())
+        con.execute(f"create view benchmark as select * from read_parquet('{d}/benchmark.parquet')")
         docs = shared.stage(f(spark, docs, d), "test")
         assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars"]
         rows.append(docs.count())
+        if name in gone:
+            assert as_text(docs.collect()) == as_text(con.execute(f"select * from documents where doc_id not in ({gone[name]})").fetchall())
     assert rows == sorted(rows, reverse=True) and rows[0] > rows[1] > rows[2] > 0
-    out = corpus_pipeline.run(spark, d)
-    assert out.count() == rows[-1] and {r[0] for r in out.select("doc_id").collect()} == {r[0] for r in docs.select("doc_id").collect()}
+    t = Tokenizer.from_file(public_tokenizers.path(WORD))
+    sha = lambda x: hashlib.sha256(x.encode()).hexdigest()
+    encoded = [(i, t.encode(x or "", add_special_tokens=False).ids) for i, x in docs.select("doc_id", "text").collect()]
+    wanted = [(i, len(ids), sha(" ".join(map(str, ids))), sha(t.decode(ids, skip_special_tokens=False))) for i, ids in encoded]
+    assert as_text(corpus_pipeline.run(spark, d).collect()) == as_text(wanted)
