@@ -173,6 +173,8 @@ class TrieBpe:
                     continue
                 for word in below:
                     if (found := steps.get((state, word[-1], True))) is None:
+                        if len(steps) >= STEPS:
+                            steps.clear()
                         found = steps[state, word[-1], True] = self.step(state, word[-1], True)
                     tokens = [last(found[1], last_of, depth + 1)]
                     at = depth + 1 - letters[tokens[0]]
