@@ -11,7 +11,7 @@ An Elias-Fano sequence of n numbers below u keeps the low log2(u / n) bits packe
 from the sample and reads on from there, without unpacking the rest. Blocks are kept as a binary column of Parquet files in the shared folder, so any store that Spark writes to will do.
 
 Nulls: a null text is empty (only the end id); documents with a null id come first. Repeated ids: each row is a document of
-its own, in the order of its text. Empty table: no blocks. A very long text is a block of its own. Clashing names: only the id and the text are read.
+its own, in the order of its text. Empty table: no blocks. A very long text is a block of its own and is encoded in parts. Clashing names: only the id and the text are read.
 """
 
 from __future__ import annotations
@@ -30,17 +30,19 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .bpe_trie import simple_pattern, text_slices
+from .bpe_trie import byte_letters, simple_pattern, text_slices
 from .shared import as_rows, column, partitions, stage
 
 MAGIC, VERSION = b"LMEF", 2
 HEADER = struct.Struct("<4sHHQQQq")
-PART = struct.Struct("<QBQQ")  # n, low bits, bytes of low bits, bytes of high bits; then the samples, low bits and high bits
+SEQUENCE = struct.Struct("<QBQQ")  # n, low bits, bytes of low bits, bytes of high bits; then the samples, low bits and high bits
 SAMPLE = 64
-#: Pieces in a generation of a worker's memory; two generations are kept.
-REMEMBER = 500_000
-#: Bytes of ids after which a block is closed.
-BLOCK = 4 << 20
+#: Pieces in a generation of a worker's memory, and their letters; two generations are kept.
+REMEMBER, REMEMBER_LETTERS = 150_000, 4 << 20
+#: Letters of a text after which it is cut at the next blank.
+PART = 1 << 18
+#: Bytes of ids after which a block is closed, and documents: building the boundaries takes some 400 bytes a document.
+BLOCK, DOCUMENTS = 4 << 20, 1 << 16
 #: How the vocabulary's byte-level splitter cuts text.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?[\p{L}]+| ?[\p{N}]+| ?[^\s\p{L}\p{N}]+|[\s]+(?![^\s])|[\s]+"
 RARE = re.compile("[\u0530-\U0010ffff\x00\x1c-\x1f]")
@@ -67,13 +69,13 @@ class EliasFano:
         return cls(n, low_bits, places[::SAMPLE].astype("<u4"), np.packbits(low, bitorder="little").tobytes(), np.packbits(high, bitorder="little").tobytes())
 
     def to_bytes(self) -> bytes:
-        return PART.pack(self.n, self.low_bits, len(self.low), len(self.high)) + self.samples.tobytes() + self.low + self.high
+        return SEQUENCE.pack(self.n, self.low_bits, len(self.low), len(self.high)) + self.samples.tobytes() + self.low + self.high
 
     @classmethod
     def from_bytes(cls, blob: memoryview, at: int) -> tuple[EliasFano, int]:
-        n, low_bits, a, b = PART.unpack_from(blob, at)
-        samples = np.frombuffer(blob, "<u4", -(-n // SAMPLE), at + PART.size)
-        at += PART.size + samples.nbytes
+        n, low_bits, a, b = SEQUENCE.unpack_from(blob, at)
+        samples = np.frombuffer(blob, "<u4", -(-n // SAMPLE), at + SEQUENCE.size)
+        at += SEQUENCE.size + samples.nbytes
         return cls(n, low_bits, samples, bytes(blob[at : at + a]), bytes(blob[at + a : at + a + b])), at + a + b
 
     def _low(self, i: int) -> int:
@@ -109,8 +111,9 @@ def write_block(doc_ids: list[int | None], ids: list[np.ndarray], width: int) ->
     known = [d for d in doc_ids if d is not None]
     least = known[0] if known else 0
     ends = EliasFano.of(np.cumsum([len(x) for x in ids]))
-    body = np.concatenate(ids) if ids else np.zeros(0, np.uint32)
-    return HEADER.pack(MAGIC, VERSION, width, len(doc_ids), len(body), nulls, least) + body.astype(f"<u{width}").tobytes() + ends.to_bytes() + EliasFano.of(np.array([d - least for d in known], np.uint64)).to_bytes()
+    numbers = EliasFano.of(np.array([d - least for d in known], np.uint64))
+    body = [np.ascontiguousarray(x, f"<u{width}") for x in ids]
+    return b"".join([HEADER.pack(MAGIC, VERSION, width, len(doc_ids), sum(map(len, ids)), nulls, least), *body, ends.to_bytes(), numbers.to_bytes()])
 
 
 class Block:
@@ -133,23 +136,27 @@ class Block:
 
 
 class Pieces(dict):
-    """The ids of pieces of text as bytes. A new piece is looked up in the generation before, or else encoded by the library."""
+    """The ids of pieces of text as bytes. A new piece is looked up in the generation before, or else encoded by the library's model."""
 
-    def __init__(self, encode, dtype: np.dtype):
+    def __init__(self, tokenize, dtype: np.dtype):
         super().__init__()
-        self.encode, self.dtype = encode, dtype
+        self.tokenize, self.dtype = tokenize, dtype
+        self.table = str.maketrans({b: c for b, c in enumerate(byte_letters())})
         self.before: dict[str, bytes] = {}
+        self.letters = 0
 
     def __missing__(self, piece: str) -> bytes:
         if (ids := self.before.get(piece)) is None:
-            ids = array(self.dtype.char, self.encode(piece, add_special_tokens=False).ids).tobytes()
+            ids = array(self.dtype.char, [t.id for t in self.tokenize(piece.encode().decode("latin-1").translate(self.table))]).tobytes()
         self[piece] = ids
+        self.letters += len(piece)
         return ids
 
     def age(self) -> None:
-        if len(self) > REMEMBER:
+        if len(self) > REMEMBER or self.letters > REMEMBER_LETTERS:
             self.before = dict(self)
             self.clear()
+            self.letters = 0
 
 
 class ByteTokenizer:
@@ -159,22 +166,42 @@ class ByteTokenizer:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
+        added = list(self.library.get_added_tokens_decoder().values())
+        self.special = [t.content for t in added]
         self.odd = re.compile("|".join([RARE.pattern, *map(re.escape, self.special)]))
+        #: A piece begins at the first blank behind a letter or mark, if no special token reaches across it.
+        self.cut = None if any(t.lstrip or t.rstrip or re.search(r"\s", t.content) for t in added) else re.compile("[!-~\u00a1-\u052f\u3040-\u9fff][ \t\r\n]")
         self.split = simple_pattern(SPLIT)
         self.width = 2 if self.library.get_vocab_size(with_added_tokens=True) <= 1 << 16 else 4
         self.dtype = np.dtype(f"<u{self.width}")
-        self.known = Pieces(self.library.encode, self.dtype)
+        self.known = Pieces(self.library.model.tokenize, self.dtype)
+
+    def parts(self, text: str) -> Iterator[str]:
+        """The text, or parts of a long one that are encoded as they are in it."""
+        at = 0
+        while self.cut and len(text) - at > PART and (found := self.cut.search(text, at + PART)):
+            yield text[at : found.end() - 1]
+            at = found.end() - 1
+        yield text[at:]
+
+    def encode(self, text: str) -> bytes:
+        if self.odd.search(text):
+            return np.array(self.library.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
+        return b"".join(map(self.known.__getitem__, self.split.findall(text)))
 
     def batch(self, texts: list[str], end: int) -> Iterator[np.ndarray]:
-        self.known.age()
         last = np.array([end], self.dtype).tobytes()
+        self.known.age()
         for t in texts:
-            if self.odd.search(t):
-                ids = np.array(self.library.encode(t, add_special_tokens=False).ids, self.dtype).tobytes()
+            if len(t) <= PART:
+                ids = self.encode(t) + last
             else:
-                ids = b"".join(map(self.known.__getitem__, self.split.findall(t)))
-            yield np.frombuffer(ids + last, self.dtype)
+                pieces = []
+                for part in self.parts(t):
+                    pieces.append(self.encode(part))
+                    self.known.age()
+                ids = b"".join([*pieces, last])
+            yield np.frombuffer(ids, self.dtype)
 
 
 @lru_cache(maxsize=2)
@@ -196,7 +223,7 @@ def write_tokens(docs: DataFrame, path: str, end: int = 0, id_col: str = "doc_id
         for batch in batches:
             for doc_ids, texts in text_slices(batch):
                 for doc_id, a in zip(doc_ids, tokenizer.batch(texts, end), strict=True):
-                    if held and (held + len(a)) * tokenizer.width > BLOCK:
+                    if held and ((held + len(a)) * tokenizer.width > BLOCK or len(ids) >= DOCUMENTS):
                         yield close()
                         start, seq, held = start + held, seq + 1, 0
                         ids, arrays = [], []
