@@ -38,7 +38,7 @@ HEADER = struct.Struct("<4sHHQQQq")
 SEQUENCE = struct.Struct("<QBQQ")  # n, low bits, bytes of low bits, bytes of high bits; then the samples, low bits and high bits
 SAMPLE = 64
 #: Pieces in a generation of a worker's memory, and their letters; two generations are kept.
-REMEMBER, REMEMBER_LETTERS = 150_000, 4 << 20
+REMEMBER, REMEMBER_LETTERS = 300_000, 4 << 20
 #: Letters of a text after which it is cut at the next blank.
 PART = 1 << 18
 #: Bytes of ids after which a block is closed, and documents: building the boundaries takes some 400 bytes a document.
