@@ -226,6 +226,43 @@ def test_long_texts_in_pieces_against_brute_force(spark, monkeypatch):
     assert sorted(got) == sorted(substring_brute(rows, 400))
 
 
+def test_every_string_is_in_one_context():
+    rnd = random.Random(21)
+    texts = [words(rnd, 2000), "ab" * 700, "a" * 400, "b" * 399, words(rnd, 70) * 3, "é" * 500 + words(rnd, 400)]
+    data, bounds = substring_dedup.text_bytes(pa.array(texts))
+    text, at, before, after, _, _ = substring_dedup.anchors(data, bounds)
+    starts = collections.Counter(x for t, a, b, c in zip(text.tolist(), at.tolist(), before.tolist(), after.tolist(), strict=True) for x in range(a - b, a + c - 399) if bounds[t] <= x and a + c <= bounds[t + 1])
+    assert starts == collections.Counter(x for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True) for x in range(a, b - 399))
+
+
+def test_a_code_stands_for_what_all_strings_of_a_key_hold(monkeypatch):
+    rnd = random.Random(22)
+    letters = lambda n: bytes(rnd.choice(b"abc \xc3\xa9") for _ in range(n))
+    grams, left, right = [letters(200) for _ in range(3)], letters(200), letters(200)
+    bodies = []  # key, low, high, rid, start, gram_at, body: the second gram has the first one's key, as with equal hashes
+    for k, gram in enumerate(grams):
+        for n in range(12):
+            a, b = rnd.randrange(201), rnd.randrange(201)
+            l, r = bytearray(left[200 - max(a, 200 - b) :]), bytearray(right[:b])
+            if n % 3:
+                l[rnd.randrange(len(l))] ^= 1
+            if n % 4 and r:
+                r[rnd.randrange(len(r))] ^= 1
+            bodies.append((k // 2, 0, 200, b"%d.%d" % (k, n), rnd.randrange(1000), len(l), bytes(l) + gram + bytes(r)))
+    half = [next(substring_dedup.halve(iter([pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*bodies, strict=True), substring_dedup.BODY_TYPES)], [x.split(" ")[0] for x in substring_dedup.BODY.split(", ")])])))]
+    half = [tuple(r.values())[:7] for r in half[0].to_pylist()]
+    searched, transform = [], substring_dedup.repeated
+    monkeypatch.setattr(substring_dedup, "repeated", lambda t, *size: searched.append(len(t)) or transform(t, *size))
+    for rows in (bodies, sorted(half)):
+        seen = collections.Counter(body[k : k + 400] for *_, body in rows for k in range(len(body) - 399))
+        want = {(rid, start + k + i) for _, _, _, rid, start, _, body in rows for k in range(len(body) - 399) if seen[body[k : k + 400]] > 1 for i in range(400)}
+        batch = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), substring_dedup.BODY_TYPES)], [x.split(" ")[0] for x in substring_dedup.BODY.split(", ")])
+        searched.clear()
+        got = {(x["rid"], i) for b in substring_dedup.compare_contexts(iter([batch])) for x in b.to_pylist() for i in range(x["start"], x["end"])}
+        assert got == want and want
+        assert sum(searched) < sum(len(r[-1]) - 190 for r in rows)
+
+
 def test_transform_against_brute_force():
     rnd = random.Random(9)
     for size in (3, 8):
